@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from voxloom.llm import mixing, sharding
+from voxloom.llm import chat, html_text, mixing, sharding
 
 QUERIES = {
+    "op2_chat": chat.query,
     "op7_sharding": sharding.query,
     "op9_mixing": mixing.query,
+    "op10_html": html_text.query,
 }
 
 ORACLE_SQL = {
+    "op2_chat": chat.ORACLE_SQL,
     "op9_mixing": mixing.ORACLE_SQL,
 }
