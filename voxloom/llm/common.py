@@ -140,7 +140,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.n
     n = len(words)
     rolled = np.zeros(max(0, n - width + 1), np.uint64)
     for i in range(width):
-        rolled += words[i : n - width + 1 + i] * np.uint64(pow(int(_P), i + 1, 1 << 64))
+        rolled += words[i : i + len(rolled)] * np.uint64(pow(int(_P), i + 1, 1 << 64))
     rolled = mix64(rolled)
     sets = []
     for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from voxloom.llm import chat, html_text, mixing, sharding
+from voxloom.llm import chat, flac, html_text, mixing, sharding, sketches
 
 QUERIES = {
     "op2_chat": chat.query,
+    "op5_flac": flac.query,
     "op7_sharding": sharding.query,
+    "op8_sketches": sketches.query,
     "op9_mixing": mixing.query,
     "op10_html": html_text.query,
 }
