@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Up to so many rows a side may be broadcast; beyond it the same join runs as a shuffle join.
 BROADCAST_ROWS = 200_000
@@ -66,6 +67,14 @@ def only_new(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def grown(df: DataFrame, **types: str) -> T.StructType:
+    """The schema of `df` with more columns at its end."""
+    schema = T.StructType([*df.schema.fields])
+    for name, kind in types.items():
+        schema.add(name, kind)
+    return schema
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cuts a batch at rows so that each slice holds about `most` bytes of text, or a single longer row."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm.common import only_new, slices, table
+from voxloom.llm.common import grown, only_new, slices, table
 
 BLOCK = 1024
 RATE = 8000
@@ -451,7 +451,7 @@ def encode_column(docs: DataFrame, text: str = "text") -> DataFrame:
                 new = [pa.array([len(t) for t in texts], pa.int64()), pa.array(encode([padded(t) for t in texts]), pa.binary())]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "n_bytes", "media"])
 
-    return docs.mapInArrow(run, docs.schema.add("n_bytes", "long").add("media", "binary"))
+    return docs.mapInArrow(run, grown(docs, n_bytes="long", media="binary"))
 
 
 def pcm_blocks(media: DataFrame, key: str = "doc_id", column: str = "media", samples: int = 4096) -> DataFrame:
@@ -469,7 +469,7 @@ def pcm_blocks(media: DataFrame, key: str = "doc_id", column: str = "media", sam
                 columns = list(zip(*out, strict=True)) or [()] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (batch.schema.field(key).type, pa.int32(), pa.int64(), pa.binary()), strict=True)], [key, "block", "sample_offset", "pcm"])
 
-    return media.mapInArrow(run, media.select(key).schema.add("block", "integer").add("sample_offset", "long").add("pcm", "binary"))
+    return media.mapInArrow(run, grown(media.select(key), block="integer", sample_offset="long", pcm="binary"))
 
 
 RESULT = pa.schema(

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm.common import only_new, slices, table
+from voxloom.llm.common import grown, only_new, slices, table
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -237,7 +237,7 @@ def extract(pages: DataFrame, column: str = "html") -> DataFrame:
                 new = [pa.array([f[0] for f in found], pa.string()), pa.array([len(f[0]) for f in found], pa.int64()), *(pa.array([f[i] for f in found], pa.int32()) for i in (1, 2))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *new], [*rest, "text", "n_chars", "n_blocks", "n_kept"])
 
-    schema = kept.select(*rest).schema.add("text", "string").add("n_chars", "long").add("n_blocks", "integer").add("n_kept", "integer")
+    schema = grown(kept.select(*rest), text="string", n_chars="long", n_blocks="integer", n_kept="integer")
     return kept.mapInArrow(run, schema)
 
 

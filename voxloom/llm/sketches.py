@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import only_new, shingle_sets, slices, table, text_bytes
+from voxloom.llm.common import grown, only_new, shingle_sets, slices, table, text_bytes
 
 K = 128
 WIDTH = 5
@@ -84,12 +84,12 @@ def fingerprint(docs: DataFrame, text: str = "text", k: int = K, width: int = WI
                 new = [pa.array([to_string(s) for s in found], pa.string()), pa.array([distinct(s, k) for s in found], pa.float64())]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "fingerprint", "shingles"])
 
-    return docs.mapInArrow(run, docs.schema.add("fingerprint", "string").add("shingles", "double"))
+    return docs.mapInArrow(run, grown(docs, fingerprint="string", shingles="double"))
 
 
 def merge_parts(parts: DataFrame, group: str, k: int = K) -> DataFrame:
     """One (group, fingerprint) row a group from the fingerprints of its parts: merged in each partition first, so a hot group moves k hashes a task; nulls are a group of their own."""
-    schema = parts.select(group).schema.add("fingerprint", "string")
+    schema = grown(parts.select(group), fingerprint="string")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
