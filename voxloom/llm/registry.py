@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from voxloom.llm import chat, flac, html_text, mixing, sharding, sketches
+from voxloom.llm import chat, flac, html_text, language, mixing, sharding, sketches
 
 QUERIES = {
+    "op1_language": language.query,
     "op2_chat": chat.query,
     "op5_flac": flac.query,
     "op7_sharding": sharding.query,
