@@ -53,12 +53,12 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 
 def prefix_sum(df: DataFrame, order: str, value: str, out: str, width: int = 4096) -> DataFrame:
     """Adds `out`, the sum of `value` over rows of a smaller `order` (a dense id from 0), by blocks of ids: no task gets all rows but the block totals."""
-    blocks = df.withColumn("_vx_block", F.floor(F.col(order) / F.lit(width)))
-    totals = blocks.groupBy("_vx_block").agg(F.sum(value).alias("_vx_total"))
-    before = totals.withColumn("_vx_before", F.sum("_vx_total").over(Window.orderBy("_vx_block").rowsBetween(Window.unboundedPreceding, -1)))
-    inside = F.sum(value).over(Window.partitionBy("_vx_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    joined = blocks.join(before.select("_vx_block", "_vx_before"), "_vx_block")
-    return joined.withColumn(out, F.coalesce(inside, F.lit(0)) + F.coalesce("_vx_before", F.lit(0))).drop("_vx_block", "_vx_before")
+    blocks = df.withColumn("_vx_ps_block", F.floor(F.col(order) / F.lit(width)))
+    totals = blocks.groupBy("_vx_ps_block").agg(F.sum(value).alias("_vx_ps_total"))
+    before = totals.withColumn("_vx_ps_before", F.sum("_vx_ps_total").over(Window.orderBy("_vx_ps_block").rowsBetween(Window.unboundedPreceding, -1)))
+    inside = F.sum(value).over(Window.partitionBy("_vx_ps_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    joined = blocks.join(before.select("_vx_ps_block", "_vx_ps_before"), "_vx_ps_block")
+    return joined.withColumn(out, F.coalesce(inside, F.lit(0)) + F.coalesce("_vx_ps_before", F.lit(0))).drop("_vx_ps_block", "_vx_ps_before")
 
 
 def only_new(df: DataFrame, *names: str) -> DataFrame:

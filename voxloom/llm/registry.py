@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from voxloom.llm import chat, flac, html_text, language, mixing, sharding, sketches
+from voxloom.llm import chat, flac, html_text, language, mixing, packing, secrets, sharding, sketches
 
 QUERIES = {
     "op1_language": language.query,
     "op2_chat": chat.query,
+    "op4_packing": packing.query,
     "op5_flac": flac.query,
+    "op6_secrets": secrets.query,
     "op7_sharding": sharding.query,
     "op8_sketches": sketches.query,
     "op9_mixing": mixing.query,
