@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -39,6 +40,11 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def tidy(self) -> None:
+        """Lets Spark's cleaner delete the shuffle files of jobs that are over; else they stay until the driver next collects its garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         """Deletes a table that no later job reads."""
         for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
