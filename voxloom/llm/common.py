@@ -77,7 +77,7 @@ def grown(df: DataFrame, **types: str) -> T.StructType:
     """The schema of `df` with more columns at its end."""
     schema = T.StructType([*df.schema.fields])
     for name, kind in types.items():
-        schema.add(name, kind)
+        schema.add(name, T.DataType.fromDDL(kind))
     return schema
 
 

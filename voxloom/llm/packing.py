@@ -69,7 +69,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
 
     schema = grown(docs.select(key), piece="integer", start="long", length="long", ids_crc32="long")
     if ids:
-        schema.add("ids", "array<long>")
+        schema = grown(docs.select(key), piece="integer", start="long", length="long", ids_crc32="long", ids="array<bigint>")
     return keep.mapInArrow(run, schema)
 
 
