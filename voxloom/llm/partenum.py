@@ -9,8 +9,8 @@ Weak signatures (of fewer than two shingles) would be shared by chance, so there
 principle needs: a set with no more than SPARE weak groups agrees with each partner in a group that is not weak, and
 can leave its weak signatures out; a set with more sends all.
 
-Equal sets are merged first.  Of the sets under one signature, members are compared with pivots: in round r with those
-of ranks up to 2^r, and only across components, until no signature's members are left uncompared.  That loses no link
+Equal sets are merged first.  Of the sets under one signature, members are compared with pivots: in each round with the
+next ones, twice as many up to PIVOTS, and only across components, until no signature's members are left uncompared.  That loses no link
 between components, and emits no pairs inside them.
 """
 
@@ -33,6 +33,8 @@ NUM, DEN = 90, 100
 #: Upper over lower size of a band.
 BAND = 1.5
 WEAK = 2
+#: At most so many pivots of a signature are taken in a round.
+PIVOTS = 32
 #: Up to this many differing shingles all subsets of two of k + 2 partitions are enumerated, beyond it two levels are used.
 ONE_LEVEL = 6
 
@@ -202,12 +204,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         open_rows = shared.where(f"rank > {first}").select("sign", "v", "n", "rank").join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
         mixed = open_rows.groupBy("sign").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("sign")
         left = scratch.keep(open_rows.join(mixed, "sign", "left_semi"))
-        pivots = left.where(f"rank <= {2 * first}").select("sign", F.col("v").alias("w"), F.col("n").alias("m"), F.col("rank").alias("pivot"), F.col("c").alias("d"))
-        across = left.join(pivots, "sign").where("rank > pivot and c != d").where(close)
-        pairs = scratch.keep(across.select("v", "w").distinct())
         if left.limit(1).count() == 0:
             break
-        first *= 2
+        step = min(first, PIVOTS)
+        pivots = left.where(f"rank <= {first + step}").groupBy("sign").agg(F.collect_list(F.struct("rank", F.col("c").alias("d"), F.col("v").alias("w"), F.col("n").alias("m"))).alias("pivots"))
+        # a pair shares many signatures: pivots travel as one short array a signature and are made distinct for each member before they become rows
+        met = left.join(pivots, "sign").withColumn(
+            "pivots",
+            F.transform(F.filter("pivots", lambda p: (p["rank"] < F.col("rank")) & (p["d"] != F.col("c")) & (NUM * F.greatest(F.col("n"), p["m"]) <= DEN * F.least(F.col("n"), p["m"]))), lambda p: p["w"]),
+        )
+        pairs = scratch.keep(met.where("size(pivots) > 0").groupBy("v").agg(F.array_distinct(F.flatten(F.collect_list("pivots"))).alias("w")).select("v", F.explode("w").alias("w")))
+        first += step
         links = scratch.keep(_similar(pairs, sets))
         if links.limit(1).count():
             found = components(found.select("v", F.col("component").alias("w")).unionByName(links), scratch)
