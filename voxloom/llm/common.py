@@ -33,13 +33,28 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.top = spark, f"{shared_dir(spark)}/voxloom-{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        self._kept: list[str] = []
 
     def keep(self, df: DataFrame) -> DataFrame:
         path = f"{self.top}/{self._n}"
         self._n += 1
         df.write.parquet(path)
+        self._kept.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def last(self, df: DataFrame) -> DataFrame:
+        """Writes the result and deletes all tables before it."""
+        kept, out = list(self._kept), self.keep(df)
+        for path in kept:
+            self._delete(path)
+        self._kept = self._kept[-1:]
+        self.tidy()
+        return out
+
+    def _delete(self, path: str) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
     def tidy(self) -> None:
         """Lets Spark's cleaner delete the shuffle files of jobs that are over; else they stay until the driver next collects its garbage."""
         gc.collect()
@@ -48,8 +63,7 @@ class Scratch:
     def drop(self, df: DataFrame) -> None:
         """Deletes a table that no later job reads."""
         for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+            self._delete(path)
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
@@ -81,7 +95,7 @@ def grown(df: DataFrame, **types: str) -> T.StructType:
     return schema
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 500_000) -> Iterator[pa.RecordBatch]:
     """Cuts a batch at rows so that each slice holds about `most` bytes of text, or a single longer row."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0

@@ -157,12 +157,15 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those (v, w) whose shingle sets reach the similarity."""
-    left = sets.select("v", F.col("shingles").alias("x"))
-    hubs = sets.join(pairs.select(F.col("w").alias("v")).distinct(), "v", "left_semi").select(F.col("v").alias("w"), F.col("shingles").alias("y"))
-    joined = pairs.join(left, "v").join(hubs, "w")
-    shared = F.size(F.array_intersect("x", "y")).cast("long")
-    union = F.size("x") + F.size("y") - F.col("_vx_shared")
+    """Those (v, w) whose shingle sets reach the similarity.  Only sets that some pair names are shuffled."""
+
+    def named(column: str) -> DataFrame:
+        wanted = pairs.select(F.col(column).alias("v")).distinct()
+        return sets.join(small(wanted, wanted.count()), "v", "left_semi").select(F.col("v").alias(column), F.col("shingles").alias(f"of_{column}"))
+
+    joined = pairs.join(named("v"), "v").join(named("w"), "w")
+    shared = F.size(F.array_intersect("of_v", "of_w")).cast("long")
+    union = F.size("of_v") + F.size("of_w") - F.col("_vx_shared")
     return joined.withColumn("_vx_shared", shared).where(DEN * F.col("_vx_shared") >= NUM * union).select("v", "w").distinct()
 
 
@@ -194,6 +197,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     if sizes.where("_vx_doc is not null").groupBy("_vx_doc").count().where("count > 1").limit(1).count():
         sets = sets.dropDuplicates(["v", "a"])
     sets = scratch.keep(sets)
+    scratch.drop(wanted)
     scratch.tidy()
     links = _similar(pairs, sets)
     found = components(links, scratch)
@@ -220,7 +224,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
             found = components(found.select("v", F.col("component").alias("w")).unionByName(links), scratch)
     keys = sizes.where("_vx_doc is not null and n > 0").groupBy("a", "b").agg(F.min("_vx_doc").alias("v"))
     labelled = keys.join(found, "v", "left").select("a", "b", F.coalesce("component", "v").alias("c"))
-    return sizes.join(labelled, ["a", "b"], "left").select(F.col("_vx_doc").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("_vx_doc").isNotNull(), F.coalesce("c", "_vx_doc")).alias("component_id"))
+    result = sizes.join(labelled, ["a", "b"], "left").select(F.col("_vx_doc").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("_vx_doc").isNotNull(), F.coalesce("c", "_vx_doc")).alias("component_id"))
+    return scratch.last(result)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
