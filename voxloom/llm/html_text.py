@@ -65,6 +65,20 @@ LABELLED = [
     (30, 0.35, 20, 0.0, 50, 0.0, 0, 1, 0, 1),
     (3, 1.0, 60, 0.0, 70, 0.0, 0, 1, 0, 1),
     (6, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (350, 0.0, 40, 0.0, 120, 0.0, 0, 1, 0, 1),
+    (600, 0.1, 10, 0.0, 8, 0.0, 0, 1, 0, 1),
+    (1500, 0.0, 300, 0.0, 300, 0.0, 0, 1, 0, 1),
+    (160, 0.0, 6, 0.3, 0, 0.0, 0, 1, 0, 1),
+    (2, 0.5, 200, 0.0, 150, 0.0, 0, 1, 0, 1),
+    (4, 0.0, 2, 1.0, 6, 0.5, 0, 1, 1, 1),
+    (1, 1.0, 1, 1.0, 20, 0.0, 0, 1, 0, 1),
+    (250, 0.0, 100, 0.0, 90, 0.0, 0, 0, 0, 1),
+    (900, 0.02, 5, 1.0, 6, 0.5, 0, 0, 0, 1),
+    (400, 0.0, 90, 0.0, 30, 0.0, 1, 0, 0, 0),
+    (220, 0.0, 150, 0.0, 10, 0.5, 1, 1, 0, 0),
+    (1, 0.0, 150, 0.0, 1, 1.0, 1, 1, 0, 0),
+    (700, 0.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0),
+    (3, 0.0, 60, 0.0, 40, 0.0, 1, 1, 1, 0),
     (30, 0.0, 40, 0.0, 50, 0.0, 0, 0, 0, 1),
     (80, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0, 1),
     (25, 0.1, 120, 0.0, 3, 1.0, 0, 0, 0, 1),
