@@ -83,7 +83,7 @@ def findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, i
             )
         )()
         bare = value[:4] in ("AKIA", "ghp_", "gho_", "ghs_", "xoxb", "sk_l", "pk_l") or value.startswith("eyJ")
-        if bare and rng.random() < 0.5 or len(set(value)) > 18 and len(value) > 30 and rng.random() < 0.2:
+        if bare and rng.random() < 0.6 or len(set(value)) > 18 and len(value) > 30 and rng.random() < 0.2:
             return prose(4) + " ", value, " " + prose(2)
         return prose(2) + " " + key + rng.choice((" = ", "=", ": ", ":", " ")) + quote, value, quote + rng.choice((" ", "\n", ";")) + prose(2)
 
@@ -115,7 +115,14 @@ def findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, i
         left = rng.choice((prose(4) + " ", prose(3) + ": ", "https://", prose(2) + "@", prose(3) + "\n", prose(2) + " (", prose(1) + "="))
         return left, value, rng.choice((" ", ".\n", ", ", ")")) + prose(3)
 
-    return [(*(secret() if label else harmless()), label) for label in (rng.random() < 0.5 for _ in range(n))]
+    def at_an_edge(left: str, value: str, right: str) -> tuple[str, str, str]:
+        """Some findings stand near the start or the end of their text."""
+        draw = rng.random()
+        if 0.15 < draw < 0.2 and left[-1:] in " \n":
+            return "", value, ""
+        return (left[-rng.randint(0, 6) :] if draw < 0.15 and len(left) > 6 and left[-1] in " \n" else left), value, ("" if draw > 0.9 and right[:1] not in ("'", '"') else right)
+
+    return [(*at_an_edge(*(secret() if label else harmless())), label) for label in (rng.random() < 0.5 for _ in range(n))]
 
 
 def windows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
