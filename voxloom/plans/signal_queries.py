@@ -70,9 +70,9 @@ def _sources(spark, sf_dir):
 _ONE = f"SELECT k, src, min(v) AS v, min(w) AS w FROM ({_SOURCES}) GROUP BY k, src"
 
 
-@query(f"WITH s AS ({_ONE}) SELECT k, round(sum(v * w) / sum(w), 4) + 0.0 AS v FROM s GROUP BY k")
+@query(f"WITH s AS ({_ONE}) SELECT k, round(sum(v * w) / sum(w) + 1e-9, 6) + 0.0 AS v FROM s GROUP BY k")
 def q_ensemble_avg(spark, sf_dir):
-    return G.ensemble(_sources(spark, sf_dir), ["k"], "avg", weight=F.col("w")).select("k", (F.round("v", 4) + 0.0).alias("v"))
+    return G.ensemble(_sources(spark, sf_dir), ["k"], "avg", weight=F.col("w")).select("k", (F.round(F.col("v") + 1e-9, 6) + 0.0).alias("v"))
 
 
 @query(f"WITH s AS ({_ONE}) SELECT k, round(median(v), 6) + 0.0 AS v FROM s GROUP BY k")
