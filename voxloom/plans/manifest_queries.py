@@ -193,11 +193,11 @@ def q_progress(spark, sf_dir):
 
 @query(
     "WITH o AS (SELECT p_name AS name, p_size AS v FROM part WHERE p_partkey % 2 = 0 QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) = 1), u AS (SELECT p_name AS name, -p_size AS v FROM part WHERE p_partkey % 3 = 0 QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) = 1), "
-    "w AS (SELECT DISTINCT p_name AS name FROM part) SELECT w.name, coalesce(o.v, u.v) AS v FROM w LEFT JOIN o ON w.name = o.name LEFT JOIN u ON w.name = u.name"
+    "w AS (SELECT DISTINCT p_name AS name FROM part) SELECT w.name, coalesce(o.v, u.v)::VARCHAR AS v FROM w LEFT JOIN o ON w.name = o.name LEFT JOIN u ON w.name = u.name"
 )
 def q_registry_lookup(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    one = lambda rows, v: M.first_by(rows, ["p_name"], F.col("p_partkey")).select(F.col("p_name").alias("name"), v.alias("v"))
+    one = lambda rows, v: M.first_by(rows, ["p_name"], F.col("p_partkey")).select(F.col("p_name").alias("name"), v.cast("string").alias("v"))
     return M.registry_lookup(p.select(F.col("p_name").alias("name")), one(p.where("p_partkey % 2 = 0"), F.col("p_size")), one(p.where("p_partkey % 3 = 0"), -F.col("p_size")))
 
 
