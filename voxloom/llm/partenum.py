@@ -9,9 +9,9 @@ Weak signatures (of fewer than two shingles) would be shared by chance, so there
 principle needs: a set with no more than SPARE weak groups agrees with each partner in a group that is not weak, and
 can leave its weak signatures out; a set with more sends all.
 
-Equal sets are merged first.  Of the sets under one signature, members are compared with pivots: in each round with the
-next ones, twice as many up to PIVOTS, and only across components, until no signature's members are left uncompared.  That loses no link
-between components, and emits no pairs inside them.
+Equal sets are merged first.  Of the sets under one signature, all are compared with the smallest, the hub, and linked
+ones become components.  Where a signature's members still lie in several components they are compared in blocks, and
+only across components.  That loses no link between components, and emits no pairs inside them.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ NUM, DEN = 90, 100
 #: Upper over lower size of a band.
 BAND = 1.5
 WEAK = 2
-#: At most so many pivots of a signature are taken in a round.
-PIVOTS = 32
+#: Shingles in a block of members that are compared with another block at once.
+BLOCK = 40_000
 #: Up to this many differing shingles all subsets of two of k + 2 partitions are enumerated, beyond it two levels are used.
 ONE_LEVEL = 6
 
@@ -169,6 +169,70 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.withColumn("_vx_shared", shared).where(DEN * F.col("_vx_shared") >= NUM * union).select("v", "w").distinct()
 
 
+def _tile(left: list[tuple], right: list[tuple]) -> list[tuple[int, int]]:
+    """Links (v, w) between rows (v, component, shingles) of two blocks, one for each two components."""
+    a, b = ([np.asarray(r[2], np.int64) for r in rows] for rows in (left, right))
+    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
+
+    def incidence(sets: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(sets), len(both)), np.float32)
+        for i, s in enumerate(sets):
+            at = np.minimum(np.searchsorted(both, s), max(0, len(both) - 1))
+            out[i, at[both[at] == s]] = 1
+        return out
+
+    if not len(both):
+        return []
+    shared = np.rint(incidence(a) @ incidence(b).T).astype(np.int64)
+    union = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b]) - shared
+    out = {}
+    for i, j in zip(*np.nonzero(DEN * shared >= NUM * union), strict=True):
+        c, d = left[i][1], right[j][1]
+        if c != d:
+            out.setdefault((min(c, d), max(c, d)), (left[i][0], right[j][0]))
+    return list(out.values())
+
+
+def _across(shared: DataFrame, sets: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components after the links that the comparisons with the hubs have missed.
+
+    Only signatures whose members lie in several components count.  What they hold together is a family; its members,
+    sorted by component, are cut into blocks of BLOCK shingles, and two blocks meet in one task unless all of both lie in
+    one component.  A tile gives at most one link for each two components, never its pairs.
+    """
+    labelled = shared.select("sign", "v", "n").join(found.withColumnRenamed("component", "c"), "v", "left").withColumn("c", F.coalesce("c", "v"))
+    groups = labelled.groupBy("sign").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("v").alias("w")).where("low != high").select("sign", "w")
+    open_rows = scratch.keep(labelled.join(groups, "sign").select("v", "n", "c", "w").distinct())
+    if open_rows.limit(1).count() == 0:
+        return found
+    families = components(open_rows.select("v", "w"), scratch)
+    members = open_rows.select("v", "n", "c").distinct().join(families.withColumnRenamed("component", "family"), "v", "left").withColumn("family", F.coalesce("family", "v"))
+    so_far = Window.partitionBy("family").orderBy("c", "v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = scratch.keep(members.withColumn("block", F.floor((F.sum("n").over(so_far) - F.col("n")) / BLOCK)).select("v", "c", "family", "block"))
+    blocks = placed.groupBy("family", "block").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    other = blocks.select("family", F.col("block").alias("block2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    tiles = blocks.join(other, "family").where("block <= block2 and (low != high or low2 != high2 or low != low2)").select("family", "block", "block2")
+    sides = tiles.select("family", "block", "block2", F.explode(F.array_distinct(F.array("block", "block2"))).alias("side"))
+    loaded = sets.join(small(placed, placed.count()), "v").select("v", "c", F.col("family").alias("of"), F.col("block").alias("side"), "shingles")
+    filled = sides.join(loaded, (sides["family"] == loaded["of"]) & (sides["side"] == loaded["side"])).select("family", "block", "block2", loaded["side"].alias("side"), "v", "c", "shingles")
+
+    def compare(tile: pa.Table) -> pa.Table:
+        rows: dict[int, list[tuple]] = {}
+        shingles = tile.column("shingles").combine_chunks()
+        flat, ends = shingles.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(np.diff(shingles.offsets.to_numpy()))])
+        for i, (side, v, c) in enumerate(zip(*(tile.column(n).to_pylist() for n in ("side", "v", "c")), strict=True)):
+            rows.setdefault(side, []).append((v, c, np.sort(flat[ends[i] : ends[i + 1]])))
+        left, right = rows.get(tile.column("block")[0].as_py(), []), rows.get(tile.column("block2")[0].as_py(), [])
+        links = _tile(left, right) if left and right else []
+        return pa.table({"v": pa.array([v for v, _ in links], pa.int64()), "w": pa.array([w for _, w in links], pa.int64())})
+
+    links = scratch.keep(filled.groupBy("family", "block", "block2").applyInArrow(compare, "v long, w long"))
+    scratch.tidy()
+    if links.limit(1).count() == 0:
+        return found
+    return components(found.select("v", F.col("component").alias("w")).unionByName(links), scratch)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """key long, n_shingles long, component_id long (smallest key reachable by links, its own included); one row a row of `docs`.
 
@@ -201,27 +265,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     scratch.tidy()
     links = _similar(pairs, sets)
     found = components(links, scratch)
-    first = 1
-    while True:
-        scratch.tidy()
-        labels = found.withColumnRenamed("component", "c")
-        open_rows = shared.where(f"rank > {first}").select("sign", "v", "n", "rank").join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
-        mixed = open_rows.groupBy("sign").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("sign")
-        left = scratch.keep(open_rows.join(mixed, "sign", "left_semi"))
-        if left.limit(1).count() == 0:
-            break
-        step = min(first, PIVOTS)
-        pivots = left.where(f"rank <= {first + step}").groupBy("sign").agg(F.collect_list(F.struct("rank", F.col("c").alias("d"), F.col("v").alias("w"), F.col("n").alias("m"))).alias("pivots"))
-        # a pair shares many signatures: pivots travel as one short array a signature and are made distinct for each member before they become rows
-        met = left.join(pivots, "sign").withColumn(
-            "pivots",
-            F.transform(F.filter("pivots", lambda p: (p["rank"] < F.col("rank")) & (p["d"] != F.col("c")) & (NUM * F.greatest(F.col("n"), p["m"]) <= DEN * F.least(F.col("n"), p["m"]))), lambda p: p["w"]),
-        )
-        pairs = scratch.keep(met.where("size(pivots) > 0").groupBy("v").agg(F.array_distinct(F.flatten(F.collect_list("pivots"))).alias("w")).select("v", F.explode("w").alias("w")))
-        first += step
-        links = scratch.keep(_similar(pairs, sets))
-        if links.limit(1).count():
-            found = components(found.select("v", F.col("component").alias("w")).unionByName(links), scratch)
+    found = _across(shared, sets, found, scratch)
     keys = sizes.where("_vx_doc is not null and n > 0").groupBy("a", "b").agg(F.min("_vx_doc").alias("v"))
     labelled = keys.join(found, "v", "left").select("a", "b", F.coalesce("component", "v").alias("c"))
     result = sizes.join(labelled, ["a", "b"], "left").select(F.col("_vx_doc").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("_vx_doc").isNotNull(), F.coalesce("c", "_vx_doc")).alias("component_id"))
