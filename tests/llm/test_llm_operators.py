@@ -202,6 +202,20 @@ def test_tokens_are_those_of_the_tokenizers_file(spark, sf):
         assert packing.token_ids(text).tolist() == [*e.ids, 2], repr(text[:50])
 
 
+def test_packed_ids_are_those_of_the_default_tokenizer(spark, sf):
+    public = pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    t = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>x", "a<|endoftext|>", "<|endoftext|", "<|ENDOFTEXT|> né", "plain", "", "w <|endoftext|>\n" * 900]
+    texts += [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").limit(20).collect()]
+    found = {}
+    for r in packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ids=True).orderBy("doc_id", "piece").collect():
+        found.setdefault(r.doc_id, []).extend(r.ids)
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+    for i, e in enumerate(t.encode_batch(texts, add_special_tokens=False)):
+        assert found[i] == [*e.ids, 2], repr(texts[i][:50])
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_packs_every_length(seed):
     rng = np.random.default_rng(seed)
