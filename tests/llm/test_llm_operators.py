@@ -431,3 +431,41 @@ def test_stages_keep_columns_and_clean_documents(spark, sf):
     assert sorted(r.doc_id for r in left.collect()) == sorted({r.component_id for r in found})
     assert stages.secret_scan(spark, docs, sf).count() == docs.count()
     assert stages.source_mixing(spark, docs, sf).columns == docs.columns
+
+
+def test_near_duplicate_stage_matches_brute_force_at_five_words(spark, sf):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = []
+    for family in range(8):
+        base = list(rng.choice(vocabulary, int(rng.integers(8, 320))))
+        rows.append((len(rows), " ".join(base)))
+        for n in range(12):
+            copy = list(base)
+            if n % 3 == 0:  # one passage differs
+                at, size = int(rng.integers(0, len(base))), int(rng.integers(1, max(2, len(base) // 6)))
+                copy[at : at + size] = rng.choice(vocabulary, size)
+            for _ in range(int(rng.integers(0, max(2, len(base) // 35)))):
+                copy[int(rng.integers(0, len(copy)))] = str(rng.choice(vocabulary))
+            rows.append((len(rows), " ".join(copy)))
+    sets = [shingles(t, 5) for _, t in rows]
+    top = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]) and top[i] != top[j]:
+            x, y = sorted((top[i], top[j]))
+            top = [x if t == y else t for t in top]
+    kept = stages.jaccard_join(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(top))
+
+
+def test_signatures_share_at_the_stage_setting():
+    rng = np.random.default_rng(6)
+    rule = {k: v for k, v in stages.NEAR.items() if k not in ("width", "passes")}
+    for n in (1, 4, 5, 8, 10, 16, 25, 26, 40, 77, 100, 300, 900):
+        for _ in range(40):
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            drop, add = rng.integers(0, n // 5 + 1), rng.integers(0, n // 5 + 1)
+            b = np.unique(np.concatenate([a[drop:], rng.integers(0, 1 << 63, add).astype(np.uint64)]))
+            shared = len(np.intersect1d(a, b))
+            if len(b) and 10 * shared >= 8 * (len(a) + len(b) - shared) and len(a) + len(b) > 2 * shared:
+                assert len(np.intersect1d(partenum.signatures(a, **rule), partenum.signatures(b, **rule))), (n, drop, add)

@@ -1,11 +1,12 @@
 """N-gram Jaccard join by PartEnum signatures, and the components of its links.
 
-A document is the set of its distinct three-word shingles; two link at a Jaccard similarity of 0.9 or more.  Sets of
+A document is the set of its distinct shingles (of three words unless told); two link at a Jaccard similarity of num / den
+(0.9 unless told) or more.  Sets of
 sizes in one band (or near its upper end) that are so similar differ in at most k shingles.  The shingle domain is cut
 into partitions by hash, in two levels, and for every first-level group each subset of two second-level partitions
 gives one signature: the hash of what the set holds there.  By the pigeonhole principle similar sets share one.
 
-Weak signatures (of fewer than two shingles) would be shared by chance, so there are SPARE more groups than the
+Weak signatures (of fewer than `weak` shingles) would be shared by chance, so there are SPARE more groups than the
 principle needs: a set with no more than SPARE weak groups agrees with each partner in a group that is not weak, and
 can leave its weak signatures out; a set with more sends all.
 
@@ -40,27 +41,29 @@ ONE_LEVEL = 6
 
 
 @functools.cache
-def bands(upto: int) -> list[tuple[int, int]]:
+def bands(upto: int, band: float = BAND) -> list[tuple[int, int]]:
     """(lower, upper) sizes of bands that cover 1 .. upto."""
     out, low = [], 1
     while not out or out[-1][1] < upto:
-        high = max(low, int(low * BAND))
+        high = max(low, int(low * band))
         out.append((low, high))
         low = high + 1
     return out
 
 
-def instances(n: int) -> list[tuple[int, int]]:
-    """(band number, k) under which a set of n shingles is signed: its own band, and the one below if a set there can still be similar."""
-    every = bands(1 << max(1, n.bit_length()))
+@functools.cache
+def instances(n: int, num: int = NUM, den: int = DEN, band: float = BAND) -> list[tuple[int, int]]:
+    """(band number, k) under which a set of n shingles is signed: its own band, and those below if a set there can still be similar."""
+    every = bands(1 << max(1, n.bit_length()), band)
     own = next(i for i, (low, high) in enumerate(every) if low <= n <= high)
     out = []
-    for t in (own, own - 1):
-        if t >= 0 and NUM * n <= DEN * every[t][1]:
-            # sizes a <= b <= a * DEN / NUM differ in at most (DEN - NUM) / NUM * a shingles
-            k = (DEN - NUM) * every[t][1] // NUM
-            if k:
-                out.append((t, k))
+    for t in range(own, -1, -1):
+        if num * n > den * every[t][1]:
+            break
+        # sizes a <= b <= a * den / num differ in at most (den - num) / num * a shingles
+        k = (den - num) * every[t][1] // num
+        if k:
+            out.append((t, k))
     return out
 
 
@@ -70,13 +73,13 @@ def _pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0], both[:, 1]
 
 
-def signatures(hashes: np.ndarray) -> np.ndarray:
+def signatures(hashes: np.ndarray, num: int = NUM, den: int = DEN, band: float = BAND, weak: int = WEAK) -> np.ndarray:
     """The PartEnum signatures of a set of shingle hashes (none where only an equal set can be similar)."""
     out = []
     where = (hashes >> np.uint64(20)) & np.uint64((1 << 40) - 1)
     content = mix64(hashes + np.uint64(0x632BE59BD9B4E019))
     low, high = (content & np.uint64(0xFFFFFFFF)).astype(float), (content >> np.uint64(32)).astype(float)
-    for band, k in instances(len(hashes)) if len(hashes) else ():
+    for number, k in instances(len(hashes), num, den, band) if len(hashes) else ():
         spare = 0 if k <= ONE_LEVEL else 2 + k // 12
         groups, parts = (1, k + 2) if k <= ONE_LEVEL else (k // 2 + 1 + spare, 3)
         part = (where % np.uint64(groups * parts)).astype(np.int64)
@@ -84,11 +87,11 @@ def signatures(hashes: np.ndarray) -> np.ndarray:
         held = mix64(np.bincount(part, low, groups * parts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.bincount(part, high, groups * parts).astype(np.uint64) + count.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         held, count = held.reshape(groups, parts), count.reshape(groups, parts)
         a, b = _pairs(parts)
-        name = np.arange(groups * len(a), dtype=np.uint64).reshape(groups, -1) + np.uint64(band << 40)
+        name = np.arange(groups * len(a), dtype=np.uint64).reshape(groups, -1) + np.uint64(number << 40)
         signs = mix64(mix64(held[:, a] + name) + held[:, b] * np.uint64(0xC2B2AE3D27D4EB4F))
-        weak = count[:, a] + count[:, b] < WEAK
-        if k > ONE_LEVEL and np.count_nonzero(weak.any(axis=1)) <= spare:
-            signs = signs[~weak]
+        few = count[:, a] + count[:, b] < weak
+        if k > ONE_LEVEL and np.count_nonzero(few.any(axis=1)) <= spare:
+            signs = signs[~few]
         out.append(signs.ravel())
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -126,9 +129,10 @@ def _long_lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*rows, np.zeros(0, np.uint64)]).view(np.int64)))
 
 
-def _signed(names: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+def _signed(names: list, sets: list[np.ndarray], share: int = 0, passes: int = 1, **rule) -> pa.RecordBatch:
     sizes = _sizes(names, sets)
-    return pa.RecordBatch.from_arrays([*sizes.columns, _long_lists([signatures(s) for s in sets])], [*sizes.schema.names, "signs"])
+    signs = [signatures(s, **rule) for s in sets]
+    return pa.RecordBatch.from_arrays([*sizes.columns, _long_lists([x[x % np.uint64(passes) == share] for x in signs])], [*sizes.schema.names, "signs"])
 
 
 def _whole(names: list, sets: list[np.ndarray]) -> pa.RecordBatch:
@@ -156,7 +160,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         before = state
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _similar(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """Those (v, w) whose shingle sets reach the similarity.  Only sets that some pair names are shuffled."""
 
     def named(column: str) -> DataFrame:
@@ -166,10 +170,10 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     joined = pairs.join(named("v"), "v").join(named("w"), "w")
     shared = F.size(F.array_intersect("of_v", "of_w")).cast("long")
     union = F.size("of_v") + F.size("of_w") - F.col("_vx_shared")
-    return joined.withColumn("_vx_shared", shared).where(DEN * F.col("_vx_shared") >= NUM * union).select("v", "w").distinct()
+    return joined.withColumn("_vx_shared", shared).where(den * F.col("_vx_shared") >= num * union).select("v", "w").distinct()
 
 
-def _tile(left: list[tuple], right: list[tuple]) -> list[tuple[int, int]]:
+def _tile(left: list[tuple], right: list[tuple], num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
     """Links (v, w) between rows (v, component, shingles) of two blocks, one for each two components."""
     a, b = ([np.asarray(r[2], np.int64) for r in rows] for rows in (left, right))
     both = np.intersect1d(np.concatenate(a), np.concatenate(b))
@@ -186,14 +190,14 @@ def _tile(left: list[tuple], right: list[tuple]) -> list[tuple[int, int]]:
     shared = np.rint(incidence(a) @ incidence(b).T).astype(np.int64)
     union = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b]) - shared
     out = {}
-    for i, j in zip(*np.nonzero(DEN * shared >= NUM * union), strict=True):
+    for i, j in zip(*np.nonzero(den * shared >= num * union), strict=True):
         c, d = left[i][1], right[j][1]
         if c != d:
             out.setdefault((min(c, d), max(c, d)), (left[i][0], right[j][0]))
     return list(out.values())
 
 
-def _across(shared: DataFrame, sets: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+def _across(shared: DataFrame, sets: DataFrame, found: DataFrame, scratch: Scratch, num: int = NUM, den: int = DEN) -> DataFrame:
     """Components after the links that the comparisons with the hubs have missed.
 
     Only signatures whose members lie in several components count.  What they hold together is a family; its members,
@@ -223,7 +227,7 @@ def _across(shared: DataFrame, sets: DataFrame, found: DataFrame, scratch: Scrat
         for i, (side, v, c) in enumerate(zip(*(tile.column(n).to_pylist() for n in ("side", "v", "c")), strict=True)):
             rows.setdefault(side, []).append((v, c, np.sort(flat[ends[i] : ends[i + 1]])))
         left, right = rows.get(tile.column("block")[0].as_py(), []), rows.get(tile.column("block2")[0].as_py(), [])
-        links = _tile(left, right) if left and right else []
+        links = _tile(left, right, num, den) if left and right else []
         return pa.table({"v": pa.array([v for v, _ in links], pa.int64()), "w": pa.array([w for _, w in links], pa.int64())})
 
     links = scratch.keep(filled.groupBy("family", "block", "block2").applyInArrow(compare, "v long, w long"))
@@ -233,25 +237,35 @@ def _across(shared: DataFrame, sets: DataFrame, found: DataFrame, scratch: Scrat
     return components(found.select("v", F.col("component").alias("w")).unionByName(links), scratch)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN, band: float = BAND, weak: int = WEAK, passes: int = 1) -> DataFrame:
     """key long, n_shingles long, component_id long (smallest key reachable by links, its own included); one row a row of `docs`.
 
     A null or empty text, or one without words, has an empty set and links with nothing.  Rows of one key count as one
     document; a row with a null key keeps a null component.  Other columns are ignored; an empty table gives an empty
-    result.
+    result.  With `passes` the signatures are dealt out by their value, and each pass makes and shuffles its share only.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "partenum")
     sizes = scratch.keep(_sets(docs, key, text, width, "_vx_doc long, n long, a long, b long", _sizes))
-    signed = _sets(docs, key, text, width, "_vx_doc long, n long, a long, b long, signs array<bigint>", _signed).where("_vx_doc is not null and n > 0")
-    vertices = signed.groupBy("a", "b").agg(F.min("_vx_doc").alias("v"), F.first("n").alias("n"), F.first("signs").alias("signs"))
+    known = sizes.where("_vx_doc is not null and n > 0")
+    repeated = scratch.keep(known.groupBy("a", "b").agg(F.min("_vx_doc").alias("v"), F.count(F.lit(1)).alias("rows")).where("rows > 1"))
+    # of equal sets only the smallest document is signed
+    copies = scratch.keep(known.join(small(repeated, repeated.count()), ["a", "b"]).where("_vx_doc != v").select("_vx_doc", "a", "b").distinct())
+    n_copies = copies.count()
+    twice = known.groupBy("_vx_doc", "a", "b").count().where("count > 1").limit(1).count() > 0
     by_sign = Window.partitionBy("sign").orderBy("v")
-    ranked = vertices.select("v", "n", F.explode("signs").alias("sign")).select(
-        "sign", "v", "n", F.row_number().over(by_sign).alias("rank"), F.first(F.struct("v", "n")).over(by_sign.rowsBetween(Window.unboundedPreceding, 0)).alias("hub"), F.lead("v").over(by_sign).alias("next")
-    )
-    shared = scratch.keep(ranked.where("rank > 1 or next is not null").select("sign", "v", "n", "rank", F.col("hub.v").alias("w"), F.col("hub.n").alias("m")))
-    scratch.tidy()
-    close = (NUM * F.greatest("n", "m") <= DEN * F.least("n", "m")) & (F.col("v") != F.col("w"))
+    parts = []
+    for share in range(passes):
+        make = functools.partial(_signed, share=share, passes=passes, num=num, den=den, band=band, weak=weak)
+        signed = _sets(docs, key, text, width, "_vx_doc long, n long, a long, b long, signs array<bigint>", make).where("_vx_doc is not null and n > 0").join(small(copies, n_copies), ["_vx_doc", "a", "b"], "left_anti")
+        vertices = signed.dropDuplicates(["_vx_doc", "a", "b"]) if twice else signed
+        ranked = vertices.select(F.col("_vx_doc").alias("v"), "n", F.explode("signs").alias("sign")).select(
+            "sign", "v", "n", F.row_number().over(by_sign).alias("rank"), F.first(F.struct("v", "n")).over(by_sign.rowsBetween(Window.unboundedPreceding, 0)).alias("hub"), F.lead("v").over(by_sign).alias("next")
+        )
+        parts.append(scratch.keep(ranked.where("rank > 1 or next is not null").select("sign", "v", "n", "rank", F.col("hub.v").alias("w"), F.col("hub.n").alias("m"))))
+        scratch.tidy()
+    shared = functools.reduce(DataFrame.unionByName, parts)
+    close = (num * F.greatest("n", "m") <= den * F.least("n", "m")) & (F.col("v") != F.col("w"))
     pairs = scratch.keep(shared.where("rank > 1").where(close).select("v", "w").distinct())
     wanted = scratch.keep(shared.select("v").distinct())
     n_wanted = wanted.count()
@@ -263,9 +277,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     sets = scratch.keep(sets)
     scratch.drop(wanted)
     scratch.tidy()
-    links = _similar(pairs, sets)
+    links = _similar(pairs, sets, num, den)
     found = components(links, scratch)
-    found = _across(shared, sets, found, scratch)
+    found = _across(shared, sets, found, scratch, num, den)
     keys = sizes.where("_vx_doc is not null and n > 0").groupBy("a", "b").agg(F.min("_vx_doc").alias("v"))
     labelled = keys.join(found, "v", "left").select("a", "b", F.coalesce("component", "v").alias("c"))
     result = sizes.join(labelled, ["a", "b"], "left").select(F.col("_vx_doc").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("_vx_doc").isNotNull(), F.coalesce("c", "_vx_doc")).alias("component_id"))

@@ -10,6 +10,8 @@ from voxloom.llm.common import Scratch, small
 
 #: Below this mean posterior no language is taken as found.
 LEAST_SCORE = 0.4
+#: Near duplicates are documents whose five-word shingles have a Jaccard similarity of 0.8 or more.  The narrow band and two passes keep signatures selective and the disk small.
+NEAR = {"width": 5, "num": 80, "den": 100, "band": 1.25, "weak": 1, "passes": 2}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each component the document of the smallest doc_id, once; rows with a null doc_id link with nothing and stay."""
     scratch = Scratch(spark, "jaccard")
-    found = scratch.keep(partenum.near_duplicates(docs).where("doc_id != component_id").select("doc_id").distinct())
+    found = scratch.keep(partenum.near_duplicates(docs, **NEAR).where("doc_id != component_id").select("doc_id").distinct())
     kept = docs.join(small(found, found.count()), "doc_id", "left_anti")
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
