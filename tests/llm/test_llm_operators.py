@@ -312,6 +312,17 @@ def test_secrets(spark, sf):
     assert secrets.scan(pa.array([plain]), net) == [[]]
 
 
+def test_secrets_without_a_digit():
+    net = secrets.trained()
+    rng = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    value = lambda: "".join(rng.choice(letters, int(rng.integers(16, 33))))
+    rows = [f"we set it up again and then {key}{value()} went on as before" for key in ("Authorization: Bearer ", "auth = ", "private_key: ", "pwd=") for _ in range(50)]
+    assert np.mean([bool(s) for s in secrets.scan(pa.array(rows), net)]) >= 0.9
+    plain = ["The internationalization of com.example.service.Handler and of OrderProcessorFactory works.", "ABSOLUTELY EXTRAORDINARY UNDERSTANDING of self-explanatory things ===================== and so on"]
+    assert secrets.scan(pa.array(plain), net) == [[], []]
+
+
 def test_secrets_columns(spark, awkward, empty):
     df = awkward.withColumn("text", F.concat(F.col("text"), F.lit(" token = 0123456789abcdef0123 end")))
     masked = secrets.redact(df).collect()
