@@ -323,6 +323,23 @@ def test_secrets_without_a_digit():
     assert secrets.scan(pa.array(plain), net) == [[], []]
 
 
+def test_secrets_in_the_middle_of_long_candidates():
+    net = secrets.trained()
+    rng = np.random.default_rng(8)
+    letters, mixed = list("abcdefghijklmnopqrstuvwxyz"), list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    some = lambda alphabet, n: "".join(rng.choice(alphabet, n))
+    path = lambda: "/".join(some(letters, int(rng.integers(3, 9))) for _ in range(9))
+    key = lambda: some(mixed, 32)
+    rows = [f"see https://example.com/{path()}/{key()}/{path()} there" for _ in range(60)] + [f"x {mark * 70}{key()}{mark * 60} y" for mark in "-=" for _ in range(30)]
+    found = secrets.scan(pa.array(rows), net)
+    assert np.mean([bool(s) for s in found]) >= 0.9
+    assert np.mean([bool(s) for s in secrets.scan(pa.array([f"see https://example.com/{path()}/{path()} there" for _ in range(100)]), net)]) <= 0.1
+    start, end = np.array([3, 60]), np.array([50, 500])
+    own, low, high = secrets.units(np.full(600, 97, np.uint8), start, end)
+    seen = {i for o, a, b in zip(own, low, high, strict=True) if b - a <= secrets.BODY for i in range(a, b)}
+    assert seen >= {*range(3, 50), *range(60, 500)}
+
+
 def test_secrets_columns(spark, awkward, empty):
     df = awkward.withColumn("text", F.concat(F.col("text"), F.lit(" token = 0123456789abcdef0123 end")))
     masked = secrets.redact(df).collect()

@@ -1,7 +1,8 @@
 """Secret scans: three base patterns, and a character convolutional network over every candidate and its context.
 
 Candidates are the base matches and all longest runs of [A-Za-z0-9+/_.=-] of twelve characters or more, with a digit or without.
-The network (numpy only) reads a window of the candidate and of what stands around it.  It is trained here on labelled
+The network (numpy only) reads a window of the candidate and of what stands around it.  A candidate longer than the
+window is read whole, by overlapping windows and by its parts between separators; the best score counts.  It is trained here on labelled
 findings written by a seeded generator; its scores are calibrated on held-out findings and the threshold is the highest
 one that keeps the recall wanted there.
 """
@@ -30,7 +31,7 @@ LEAST = {"assign": 12, "access": 18, "hex": 16, "model": 12}
 LEFT, BODY, RIGHT = 24, 40, 8
 WIDTH, FILTERS, HIDDEN = 4, 24, 24
 RECALL = 0.97
-FINDINGS = 30000
+FINDINGS = 40000
 SEED = 17
 
 _BODY = np.zeros(256, bool)
@@ -100,6 +101,7 @@ def findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, i
             (
                 lambda: some_case(long) + rng.choice(("", "", ".")),
                 *[lambda: some_case(spoken(12, 22)) + rng.choice(("", "", "."))] * 4,
+                *[lambda: rng.choice((spoken(12, 20), long)).upper() + rng.choice(("", "", "."))] * 3,
                 lambda: rng.choice("._-/=").join(some_case(rng.choice((word, lambda: spoken(3, 9)))()) for _ in range(rng.randint(2, 5))),
                 lambda: "".join(spoken(3, 8).capitalize() for _ in range(rng.randint(2, 4))),
                 lambda: f"{word()}.{word()}.example.{rng.choice(('com', 'org', 'net'))}",
@@ -143,7 +145,32 @@ def findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, i
             return "", value, ""
         return (left[-rng.randint(0, 6) :] if draw < 0.15 and len(left) > 6 and left[-1] in " \n" else left), value, ("" if draw > 0.9 and right[:1] not in ("'", '"') else right)
 
-    return [(*at_an_edge(*(secret() if label else harmless())), label) for label in (rng.random() < 0.5 for _ in range(n))]
+    def inside(label: bool) -> tuple[str, str, str]:
+        """A window or a part of a longer candidate: the context belongs to it too."""
+        mark = rng.choice("///.-_=")
+        filler = lambda: mark * rng.randint(12, 40) if rng.random() < 0.2 else mark.join(rng.choice((word, word, lambda: spoken(3, 9), lambda: some(digits, 1, 5), lambda: spoken(4, 9).capitalize(), lambda: spoken(12, 16)))() for _ in range(rng.randint(4, 9))) + mark
+        before, after = filler() + filler(), mark + filler() + filler()
+        if not label:
+            whole, at = before + after[1:], rng.randint(0, len(before))
+            size = min(BODY, len(whole) - at)
+            return whole[:at], whole[at : at + size], whole[at + size :]
+        value = rng.choice((some(mixed, 20, 48), some(hexes, 32, 64), some(letters + capitals, 24, 40), "AKIA" + some(capitals + digits, 16), "ghp_" + some(mixed, 36)))
+        whole, at, end = before + value + after, len(before), len(before) + len(value)
+        if rng.random() < 0.5:  # a window that holds a whole token or much of it
+            at = max(0, at - rng.randint(0, max(0, BODY - min(len(value), BODY // 2))))
+            end = min(len(whole), at + BODY)
+        return whole[:at], whole[at:end], whole[end:]
+
+    def nested(label: bool) -> tuple[str, str, str]:
+        left, value, right = inside(label)
+        return prose(2) + " " + left, value, right + " " + prose(1)
+
+    def drawn(label: bool) -> tuple[str, str, str]:
+        if rng.random() < 0.15:
+            return nested(label)
+        return at_an_edge(*(secret() if label else harmless()))
+
+    return [(*drawn(label), label) for label in (rng.random() < 0.5 for _ in range(n))]
 
 
 def windows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -268,6 +295,24 @@ def _runs(mask: np.ndarray, cut: np.ndarray, least: int) -> tuple[np.ndarray, np
     return starts[long], ends[long]
 
 
+_SEPARATOR = np.zeros(256, bool)
+_SEPARATOR[list(b"/._=-")] = True
+
+
+def units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(candidate number, start, end) of what the network reads: each candidate, and of one longer than BODY also windows of BODY at every half of it and the parts between separators, so that every byte is seen."""
+    own, low, high = [np.arange(len(starts))], [starts], [ends]
+    for i in np.flatnonzero(ends - starts > BODY).tolist():
+        s, e = int(starts[i]), int(ends[i])
+        at = np.append(np.arange(s, e - BODY, BODY // 2), e - BODY)
+        bounds = np.concatenate([[s - 1], s + np.flatnonzero(_SEPARATOR[data[s:e]]), [e]])
+        part = np.flatnonzero(np.diff(bounds) - 1 >= LEAST["model"])
+        low += [at, bounds[part] + 1]
+        high += [at + BODY, bounds[part + 1]]
+        own.append(np.full(len(at) + len(part), i))
+    return np.concatenate(own), np.concatenate(low), np.concatenate(high)
+
+
 def _hits(data: bytes, needle: bytes) -> list[int]:
     out, at = [], data.find(needle)
     while at >= 0:
@@ -315,7 +360,12 @@ def scan(column: pa.Array, net: Network) -> list[list[Span]]:
     doc, start, end = (np.array([c[i] for c in every]) for i in (0, 2, 3))
     # a base match of kind assign is judged by its value
     begin = np.array([s + ASSIGN.match(raw[s:e].decode("ascii")).start(2) if kind == "assign" else s for _, kind, s, e in every])
-    score = net.scores(windows(data, begin, end, offsets[doc], offsets[doc + 1]))
+    own, low_end, high_end = units(data, begin, end)
+    score = np.zeros(len(every))
+    step = 1 << 14
+    for i in range(0, len(own), step):
+        some = slice(i, i + step)
+        np.maximum.at(score, own[some], net.scores(windows(data, low_end[some], high_end[some], offsets[doc[own[some]]], offsets[doc[own[some]] + 1])))
     taken: dict[int, list[tuple[int, int]]] = {}
     for (d, kind, s, e), p in zip(every, score.tolist(), strict=True):
         if kind == "model":
