@@ -90,6 +90,17 @@ def test_language(spark, sf, awkward, empty):
     assert language.predict(["abc", None], nothing)[1][0] == "und"
 
 
+def test_every_language_is_learned(spark, sf):
+    rows = [(i, f"word{chr(97 + i % 26)} and more", f"l{i % 70}", "s") for i in range(1400)]
+    rows += [(2000 + i, "start " * 5000 + "drawn longer ones " * 3000, "long", "s") for i in range(8)] + [(3000, "none", None, "s"), (3001, "12", None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    texts, langs = language.labelled_sample(docs)
+    assert set(langs) == {f"l{i}" for i in range(70)} | {"long"} and max(map(len, texts)) <= language.TRAIN_CHARS
+    assert any("drawn" in t for t in texts)
+    kept = stages.language_id(spark, docs.withColumn("lang", F.lit(None).cast("string")).where("doc_id >= 2006"), sf)
+    assert sorted(r.doc_id for r in kept.collect()) == [2006, 2007, 3000]
+
+
 # 2 chat
 
 

@@ -22,10 +22,9 @@ from voxloom.llm.common import grown, mix64, only_new, slices, table
 BUCKETS = 1 << 16
 STEP = 32
 UNKNOWN = "und"
-#: Bounds of the labelled sample: documents a language, their characters each, languages (the most frequent ones).
+#: Bounds of the labelled sample: documents a language, characters and words of the excerpt of each, from anywhere in it.
 TRAIN_DOCS = 80
 TRAIN_CHARS = 20_000
-TRAIN_LANGS = 64
 TRAIN_WORDS = 400
 LEXICON = 300
 EPOCHS = 30
@@ -210,6 +209,7 @@ def train(texts: list[str], langs: list[str], seed: int = SEED, epochs: int = EP
     sequence, gold = [], []
     for i in range(len(texts)):
         at, end = int(words.at[i]), int(words.at[i + 1])
+        at += int(rng.integers(0, max(0, end - at - TRAIN_WORDS) + 1))
         taken = 0
         while at < end and taken < TRAIN_WORDS:
             n = min(int(rng.geometric(1 / 30)), end - at)
@@ -272,14 +272,16 @@ def predict(texts: list[str | None], model: Model) -> list[tuple[str, float, int
 
 
 def labelled_sample(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[list[str], list[str]]:
-    """About TRAIN_DOCS texts of at most TRAIN_CHARS characters of each of the TRAIN_LANGS most frequent languages: rows whose hashed key falls under the language's share.  Rows held out by crc32(key) mod 5 = 0 and null languages never are in it."""
-    free = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS) & ~held_out(F.col(key)))
-    counts = free.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(TRAIN_LANGS).collect()
-    draw = F.pmod(F.xxhash64(F.lit(SEED), F.col(key)), F.lit(1 << 30))
-    wanted = F.lit(False)
-    for name, n in counts:
-        wanted = wanted | ((F.col(lang) == name) & (draw < int(min(1.0, 1.2 * TRAIN_DOCS / n) * (1 << 30))))
-    rows = free.where(wanted).select(lang, text, draw.alias("_vx_draw"), key).orderBy("_vx_draw", key, text).limit(2 * TRAIN_DOCS * max(1, len(counts))).collect()
+    """About TRAIN_DOCS texts of every language: rows whose hashed key and text fall under the language's share, and of a longer one an excerpt of TRAIN_CHARS characters.  Rows held out by crc32(key) mod 5 = 0 and null languages never are in it."""
+    free = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(key)))
+    counts = free.groupBy(F.col(lang).alias("_vx_lang")).agg(F.count(F.lit(1)).alias("_vx_n"))
+    counts = docs.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    draw = F.pmod(F.xxhash64(F.lit(SEED), F.col(key), F.col(text)), F.lit(1 << 30))
+    share = F.least(F.lit(1.0), 1.2 * TRAIN_DOCS / F.col("_vx_n")) * (1 << 30)
+    begin = F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit(SEED)), F.greatest(F.length(text) - TRAIN_CHARS, F.lit(0)) + 1)
+    excerpt = F.col(text).substr((begin + 1).cast("int"), F.lit(TRAIN_CHARS))
+    drawn = free.join(F.broadcast(counts), F.col(lang) == F.col("_vx_lang")).where(draw < share)
+    rows = drawn.select(lang, excerpt.alias("_vx_excerpt"), draw.alias("_vx_draw"), key).orderBy("_vx_draw", key, "_vx_excerpt").collect()
     return [r[1] for r in rows], [r[0] for r in rows]
 
 

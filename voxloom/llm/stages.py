@@ -15,9 +15,11 @@ NEAR = {"width": 5, "num": 80, "den": 100, "band": 1.25, "weak": 1, "passes": 2}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in which a language is found; those without a letter, without a text or of no clear language go."""
+    """Keeps documents in which a language is found; those without a letter, without a text or of no clear language go.  Where no label could be learned from, all documents with a letter stay."""
     model = language.train(*language.labelled_sample(docs))
     found = language.identify(docs, model)
+    if model.labels == [language.UNKNOWN]:
+        return found.where("n_words > 0").select(*docs.columns)
     return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 
