@@ -101,6 +101,19 @@ def test_every_language_is_learned(spark, sf):
     assert sorted(r.doc_id for r in kept.collect()) == [2006, 2007, 3000]
 
 
+def test_text_of_several_languages_stays(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    own = {}
+    for r in docs.where("lang is not null and length(text) > 800").orderBy("doc_id").collect():
+        own.setdefault(r.lang, r.text)
+    langs = sorted(own)[:3]
+    even = " ".join(" ".join(own[x].split()[:60]) for x in langs)
+    mixed = docs.limit(1).withColumn("text", F.lit(even)).withColumn("doc_id", F.lit(10**9).cast("long")).withColumn("lang", F.lit(None).cast("string"))
+    model = language.train(*language.labelled_sample(docs))
+    assert language.predict([even], model)[0][1] < 0.4 and len(langs) == 3
+    assert stages.language_id(spark, docs.unionByName(mixed), sf).where("doc_id = 1000000000").count() == 1
+
+
 # 2 chat
 
 

@@ -252,22 +252,24 @@ def train(texts: list[str], langs: list[str], seed: int = SEED, epochs: int = EP
     return model
 
 
-def predict(texts: list[str | None], model: Model) -> list[tuple[str, float, int, int]]:
-    """(language, mean posterior of it over the words, words, switches between neighbouring words) of each whole text; `und`, 0 without a letter."""
+def predict(texts: list[str | None], model: Model) -> list[tuple[str, float, int, int, float]]:
+    """(language, mean posterior of it over the words, words, switches between neighbouring words, mean of each word's highest posterior) of each whole text; `und`, 0 without a letter."""
     words = words_of([t or "" for t in texts])
     posterior, _ = forward_backward(model.scores(words)[words.sequence], words.at, model.transitions, model.start)
     size = np.diff(words.at)
     sums = np.concatenate([np.zeros((1, posterior.shape[1])), np.cumsum(posterior, axis=0)])
     mean = (sums[words.at[1:]] - sums[words.at[:-1]]) / np.maximum(size, 1)[:, None]
     best = mean.argmax(axis=1)
+    sure = np.concatenate([[0.0], np.cumsum(posterior.max(axis=1))])
+    sure = (sure[words.at[1:]] - sure[words.at[:-1]]) / np.maximum(size, 1)
     label = posterior.argmax(axis=1)
     switch = np.concatenate([[0], np.cumsum(np.diff(label) != 0), [0]]) if len(label) else np.zeros(2, np.int64)
     out = []
     for i, n in enumerate(size.tolist()):
         if n:
-            out.append((model.labels[best[i]], float(min(1.0, max(0.0, mean[i, best[i]]))), n, int(switch[words.at[i + 1] - 1] - switch[words.at[i]])))
+            out.append((model.labels[best[i]], float(min(1.0, max(0.0, mean[i, best[i]]))), n, int(switch[words.at[i + 1] - 1] - switch[words.at[i]]), float(min(1.0, sure[i]))))
         else:
-            out.append((UNKNOWN, 0.0, 0, 0))
+            out.append((UNKNOWN, 0.0, 0, 0, 0.0))
     return out
 
 
@@ -290,18 +292,18 @@ def held_out(key):
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns and lang_pred string, score double, n_words and n_switches int.  A null text, or one without a letter, is `und` with score 0; input columns of these names are replaced."""
-    docs = only_new(docs, "lang_pred", "score", "n_words", "n_switches")
+    """All columns and lang_pred string, score double, n_words and n_switches int, certainty double.  A null text, or one without a letter, is `und` with score 0; input columns of these names are replaced."""
+    docs = only_new(docs, "lang_pred", "score", "n_words", "n_switches", "certainty")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, text):
                 found = list(zip(*predict(batch.column(text).to_pylist(), sent.value), strict=True))
-                new = [pa.array(c, t) for c, t in zip(found, (pa.string(), pa.float64(), pa.int32(), pa.int32()), strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "lang_pred", "score", "n_words", "n_switches"])
+                new = [pa.array(c, t) for c, t in zip(found, (pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.float64()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "lang_pred", "score", "n_words", "n_switches", "certainty"])
 
-    return docs.mapInArrow(run, grown(docs, lang_pred="string", score="double", n_words="integer", n_switches="integer"))
+    return docs.mapInArrow(run, grown(docs, lang_pred="string", score="double", n_words="integer", n_switches="integer", certainty="double"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from voxloom.llm import language, mixing, packing, partenum, secrets
 from voxloom.llm.common import Scratch, small
 
-#: Below this mean posterior no language is taken as found.
+#: Below this mean of each word's highest posterior no language is taken as found.
 LEAST_SCORE = 0.4
 #: Near duplicates are documents whose five-word shingles have a Jaccard similarity of 0.8 or more.  The narrow band and two passes keep signatures selective and the disk small.
 NEAR = {"width": 5, "num": 80, "den": 100, "band": 1.25, "weak": 1, "passes": 2}
@@ -20,7 +20,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = language.identify(docs, model)
     if model.labels == [language.UNKNOWN]:
         return found.where("n_words > 0").select(*docs.columns)
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("certainty") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
