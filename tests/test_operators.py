@@ -283,3 +283,31 @@ def test_streaming(spark, tmp_path):
     batch = spark.createDataFrame(times, "track int, t string, loud boolean").select("track", F.to_timestamp("t").alias("ts"), "loud")
     assert [r.n for r in E.loud_sessions(batch).orderBy("start").collect()] == [2, 1]
     assert E.windowed_energy(batch.withColumn("v", F.lit(1.0))).agg(F.sum("n")).first()[0] == 8
+
+
+def test_whole_table_queries_match_brute_force(spark, sf):
+    from voxloom.plans import catalogue, segment_queries
+
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "label", "embedding").toPandas()
+    x = np.array(e.embedding.tolist(), float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = {}
+    for label in e.label.unique():
+        own = np.flatnonzero(e.label == label)
+        mean = x[own].mean(axis=0)
+        want |= dict(zip(e.vec_id[own], (1 - x[own] @ mean / np.linalg.norm(mean)) / 2, strict=True))
+    found = {r.vec_id: r.distance for r in catalogue.QUERIES["q_half_cosine_centroid"](spark, sf).collect()}
+    assert found.keys() == want.keys() and all(abs(found[i] - want[i]) < 2e-5 for i in want)
+
+    tracks = {}
+    for r in segment_queries._samples(spark, sf).collect():
+        tracks.setdefault(r["track"], {})[r["i"]] = r["v"]
+    want = {}
+    for r in spark.read.parquet(f"{sf}/events.parquet").collect():
+        a, b, own = r.event_id // 16, r.event_id // 16 + r.user_id, tracks.get(r.event_id % 8, {})
+        if own and a < b <= max(own) + 1:
+            cut = [own[i] for i in range(a, b)]
+            want[r.event_id] = (r.event_id % 8, len(cut), sum(cut), cut[0])
+    found = {r.seq: (r.track, r.n, r.total, r["first"]) for r in catalogue.QUERIES["q_slice_samples_all"](spark, sf).collect()}
+    assert found.keys() == want.keys() and len(want) > 0
+    assert all(found[k][:2] == want[k][:2] and abs(found[k][2] - want[k][2]) < 1e-5 and abs(found[k][3] - want[k][3]) < 1e-5 for k in want)

@@ -40,6 +40,15 @@ def q_half_cosine(spark, sf_dir):
     return a.join(b, "label").where("vec_id < other").select("vec_id", "other", F.round(V.half_cosine(V.dot(F.col("u"), F.col("w"))), 5).alias("distance"))
 
 
+@query()
+def q_half_cosine_centroid(spark, sf_dir):
+    """Every vector's half-cosine distance to the centroid of its label."""
+    rows = _rows(spark, sf_dir)
+    means = V.centroids(rows, "label").select("label", "centroid")
+    u = rows.select("vec_id", "label", V.unit(F.col("embedding")).alias("u")).where("u is not null")
+    return u.join(means, "label").select("vec_id", "label", F.round(V.half_cosine(V.dot(F.col("u"), F.col("centroid"))), 5).alias("distance"))
+
+
 @query(f"WITH {_MEANS} SELECT label, i::INT AS i, n::BIGINT AS n, round(m, 6) + 0.0 AS mean, round(c, 6) + 0.0 AS centroid FROM c")
 def q_centroids(spark, sf_dir):
     c = V.centroids(_rows(spark, sf_dir), "label")
