@@ -152,8 +152,8 @@ def test_partenum_signatures_share():
                 assert len(np.intersect1d(partenum.signatures(a), partenum.signatures(b))), (n, drop, add)
 
 
-def brute_components(rows):
-    sets = [(i, shingles(t, 3)) for i, t in rows]
+def brute_components(rows, width=3, num=90, den=100):
+    sets = [(i, shingles(t, width)) for i, t in rows]
     parent = {i: i for i, _ in sets}
 
     def top(i):
@@ -162,7 +162,7 @@ def brute_components(rows):
         return i
 
     for (i, a), (j, b) in itertools.combinations(sets, 2):
-        if a and b and 100 * len(a & b) >= 90 * len(a | b):
+        if a and b and den * len(a & b) >= num * len(a | b):
             x, y = sorted((top(i), top(j)))
             parent[y] = x
     return {(i, len(s), top(i)) for i, s in sets}
@@ -184,6 +184,42 @@ def test_partenum_matches_brute_force(spark):
     assert {tuple(r) for r in found} == brute_components(rows) and len(found) == len(rows)
 
 
+@pytest.mark.parametrize("tile, reach, width, num, den", [(4096, 64, 3, 90, 100), (5, 1, 5, 80, 100)])
+def test_partenum_under_shared_passages(spark, monkeypatch, tile, reach, width, num, den):
+    """Passages that many texts share put unlike texts under one signature; no link may be lost, whatever the tiles and the reach."""
+    monkeypatch.setattr(partenum, "TILE", tile)
+    monkeypatch.setattr(partenum, "REACH", reach)
+    rng = np.random.default_rng(9)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passages = [list(rng.choice(vocabulary, 60)) for _ in range(2)]
+    rows = []
+    for _ in range(60):
+        own = list(rng.choice(vocabulary, int(rng.integers(4, 14))))
+        for _ in range(int(rng.integers(1, 4))):
+            text = own[:2] + passages[int(rng.integers(0, 2))] + own[2:]
+            for _ in range(int(rng.integers(0, 3))):
+                text[int(rng.integers(0, len(text)))] = str(rng.choice(vocabulary))
+            rows.append((len(rows) * 7 % 1009, " ".join(text)))
+    found = partenum.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=width, num=num, den=den).collect()
+    assert {tuple(r) for r in found} == brute_components(rows, width, num, den)
+
+
+def test_parity_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(2)
+    sets = []
+    for n in (1, 9, 30, 33, 120, 1000):
+        base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for _ in range(6):
+            keep = base[rng.random(n) > rng.choice([0, 0.05, 0.1, 0.5])]
+            sets.append(np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, int(rng.integers(0, n // 8 + 1))).astype(np.uint64)])))
+    sets = [s for s in sets if len(s)]
+    maps = partenum.Bitmaps(pa.array([partenum._parity(s) for s in sets], pa.binary()))
+    for (i, a), (j, b) in itertools.combinations(enumerate(sets), 2):
+        words = int(min(maps.words[i], maps.words[j]))
+        differ = int(np.bitwise_count(maps.folded(np.array([i]), words) ^ maps.folded(np.array([j]), words)).sum())
+        assert differ <= len(np.setxor1d(a, b))
+
+
 def test_partenum_edges(spark, awkward, empty):
     found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in partenum.near_duplicates(awkward).collect()), key=str)
     by = dict((d, (n, c)) for d, n, c in found)
@@ -479,8 +515,8 @@ def test_stages_keep_columns_and_clean_documents(spark, sf):
     kept = stages.language_id(spark, docs, sf)
     assert kept.columns == docs.columns and kept.count() >= 0.97 * docs.count()
     left = stages.jaccard_join(spark, docs.unionByName(docs.limit(5)), sf)
-    found = partenum.near_duplicates(docs).collect()
-    assert sorted(r.doc_id for r in left.collect()) == sorted({r.component_id for r in found})
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted(r.doc_id for r in left.collect()) == sorted({c for _, _, c in brute_components(rows, 5, 80, 100)})
     assert stages.secret_scan(spark, docs, sf).count() == docs.count()
     assert stages.source_mixing(spark, docs, sf).columns == docs.columns
 

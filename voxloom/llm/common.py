@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import gc
 import uuid
 from collections.abc import Iterator
@@ -22,9 +24,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none (tests)."""
+    """The folder that driver and executors share; a local one only in local mode (tests), and an error where a cluster names none."""
     conf = spark.sparkContext.getConf()
-    return conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/voxloom"
+    named = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named or "/tmp/checkpoints/voxloom"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+#: Folders whose last tables results may still be read from; they go when the driver ends.
+_open: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _delete_all() -> None:
+    for top, spark in _open.items():
+        with contextlib.suppress(Exception):  # the session may be gone
+            _delete(spark, top)
 
 
 class Scratch:
@@ -34,6 +55,7 @@ class Scratch:
         self.spark, self.top = spark, f"{shared_dir(spark)}/voxloom-{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
         self._kept: list[str] = []
+        _open[self.top] = spark
 
     def keep(self, df: DataFrame) -> DataFrame:
         path = f"{self.top}/{self._n}"
@@ -46,15 +68,11 @@ class Scratch:
         """Writes the result and deletes all tables before it."""
         kept, out = list(self._kept), self.keep(df)
         for path in kept:
-            self._delete(path)
+            _delete(self.spark, path)
         self._kept = self._kept[-1:]
         self.tidy()
         return out
 
-    def _delete(self, path: str) -> None:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-
     def tidy(self) -> None:
         """Lets Spark's cleaner delete the shuffle files of jobs that are over; else they stay until the driver next collects its garbage."""
         gc.collect()
@@ -63,7 +81,7 @@ class Scratch:
     def drop(self, df: DataFrame) -> None:
         """Deletes a table that no later job reads."""
         for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            self._delete(path)
+            _delete(self.spark, path)
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

@@ -11,8 +11,8 @@ principle needs: a set with no more than SPARE weak groups agrees with each part
 can leave its weak signatures out; a set with more sends all.
 
 Equal sets are merged first.  Of the sets under one signature, all are compared with the smallest, the hub, and linked
-ones become components.  Where a signature's members still lie in several components they are compared in blocks, and
-only across components.  That loses no link between components, and emits no pairs inside them.
+ones become components.  Where a signature's members still lie in several components they are compared across components.
+Parity bitmaps rule most of these pairs out, and only those left are compared on their sets.
 """
 
 from __future__ import annotations
@@ -34,8 +34,11 @@ NUM, DEN = 90, 100
 #: Upper over lower size of a band.
 BAND = 1.5
 WEAK = 2
-#: Shingles in a block of members that are compared with another block at once.
-BLOCK = 40_000
+#: Rows and shingles in a part of a signature's members; two parts meet in a task.
+TILE = 4096
+TILE_SHINGLES = 4_000_000
+#: Partners that a row names in its tile at first.
+REACH = 64
 #: Up to this many differing shingles all subsets of two of k + 2 partitions are enumerated, beyond it two levels are used.
 ONE_LEVEL = 6
 
@@ -137,7 +140,8 @@ def _signed(names: list, sets: list[np.ndarray], share: int = 0, passes: int = 1
 
 def _whole(names: list, sets: list[np.ndarray]) -> pa.RecordBatch:
     a, _ = _set_keys(names, sets)
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(a, pa.int64()), _long_lists(sets)], ["v", "a", "shingles"])
+    bits = pa.array([_parity(s) if len(s) else b"" for s in sets], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(a, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), bits, _long_lists(sets)], ["v", "a", "n", "bits", "shingles"])
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -173,68 +177,145 @@ def _similar(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN)
     return joined.withColumn("_vx_shared", shared).where(den * F.col("_vx_shared") >= num * union).select("v", "w").distinct()
 
 
-def _tile(left: list[tuple], right: list[tuple], num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
-    """Links (v, w) between rows (v, component, shingles) of two blocks, one for each two components."""
-    a, b = ([np.asarray(r[2], np.int64) for r in rows] for rows in (left, right))
-    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
+def _parity(s: np.ndarray) -> bytes:
+    """Parity bitmap of a shingle set, two to four bits a shingle: the bits in which two bitmaps differ are never more than the shingles in which the sets do.  The upper half folds onto the lower one by xor, so bitmaps of two lengths compare as well."""
+    n_bits = max(64, 1 << (2 * len(s) - 1).bit_length())
+    place = (mix64(s + np.uint64(0x3C6EF372FE94F82B)) & np.uint64(n_bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=n_bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
-    def incidence(sets: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(sets), len(both)), np.float32)
-        for i, s in enumerate(sets):
-            at = np.minimum(np.searchsorted(both, s), max(0, len(both) - 1))
-            out[i, at[both[at] == s]] = 1
+
+class Bitmaps:
+    """Bitmaps of a column of rows, read at any length up to their own."""
+
+    def __init__(self, column: pa.Array):
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        column = column.cast(pa.large_binary())
+        self.at = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8) // 8
+        self.words = np.diff(self.at)
+        self.flat = np.frombuffer(column.buffers()[2] or b"", np.uint64)
+
+    def folded(self, rows: np.ndarray, words: int) -> np.ndarray:
+        out = np.empty((len(rows), words), np.uint64)
+        for own in np.unique(self.words[rows]).tolist():
+            some = np.flatnonzero(self.words[rows] == own)
+            for part in np.array_split(some, 1 + len(some) * own // 2_000_000):
+                whole = self.flat[self.at[rows[part]][:, None] + np.arange(own)]
+                out[part] = np.bitwise_xor.reduce(whole.reshape(len(part), -1, words), axis=1)
         return out
 
-    if not len(both):
-        return []
-    shared = np.rint(incidence(a) @ incidence(b).T).astype(np.int64)
-    union = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b]) - shared
-    out = {}
-    for i, j in zip(*np.nonzero(den * shared >= num * union), strict=True):
-        c, d = left[i][1], right[j][1]
-        if c != d:
-            out.setdefault((min(c, d), max(c, d)), (left[i][0], right[j][0]))
-    return list(out.values())
+
+def _can_link(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of n and m shingles with these bitmaps can reach the similarity."""
+    differ = np.maximum(np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64), np.abs(n - m))
+    return (den + num) * differ <= (den - num) * (n + m)
+
+
+def _may_link(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Those (v, w) that their bitmaps do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, w = Bitmaps(batch.column("bits_v")), Bitmaps(batch.column("bits_w"))
+            n, m = (batch.column(c).to_numpy() for c in ("n_v", "n_w"))
+            keep = np.zeros(batch.num_rows, bool)
+            words = np.minimum(v.words, w.words)
+            for size in np.unique(words).tolist():
+                own = np.flatnonzero(words == size)
+                for rows in np.array_split(own, 1 + len(own) * size // 2_000_000):
+                    keep[rows] = _can_link(v.folded(rows, size), w.folded(rows, size), n[rows], m[rows], num, den)
+            yield batch.select(["v", "w"]).filter(pa.array(keep))
+
+    sides = [sets.select(F.col("v").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "vw"]
+    return pairs.join(sides[0], "v").join(sides[1], "w").select("v", "w", "n_v", "n_w", "bits_v", "bits_w").mapInArrow(run, "v long, w long")
+
+
+def _meetings(c: np.ndarray, part: np.ndarray, split: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of a tile that meet: each two of different components (and, in a tile of two parts, of different parts) once."""
+    names, of, counts = np.unique(c, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return
+    largest = of == counts.argmax()
+    rest = np.flatnonzero(~largest)
+    rows = np.concatenate([rest, np.flatnonzero(largest)])
+    for i, row in enumerate(rest.tolist()):
+        other = rows[i + 1 :]
+        other = other[(of[other] != of[row]) & ((part[other] != part[row]) | (not split))]
+        if len(other):
+            yield np.full(len(other), row), other
+
+
+def _tiles(table: pa.Table, reach: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """(v, w, cut) of the rows of whole tiles (sign, i, j, part, v, n, c, bits): of each row up to `reach` partners that its bitmap does not rule out, the most alike first; cut where there were more."""
+    table = table.combine_chunks()
+    sign, i, j, part, v, n, c = (table.column(x).to_numpy() for x in ("sign", "i", "j", "part", "v", "n", "c"))
+    bits = Bitmaps(table.column("bits"))
+    begins = np.flatnonzero(np.concatenate([[True], (np.diff(sign) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)])) if len(sign) else np.zeros(0, np.int64)
+    ends = np.append(begins[1:], len(sign))
+    for low, high in zip(begins.tolist(), ends.tolist(), strict=True):
+        own = np.arange(low, high)
+        words = int(bits.words[low:high].min())
+        maps = None
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        cut = False
+        for left, right in _meetings(c[low:high], part[low:high], bool(i[low] != j[low])):
+            maps = bits.folded(own, words) if maps is None else maps
+            differ = np.bitwise_count(maps[left] ^ maps[right]).sum(axis=1, dtype=np.int64)
+            a, b = n[low + left], n[low + right]
+            good = np.flatnonzero((den + num) * np.maximum(differ, np.abs(a - b)) <= (den - num) * (a + b))
+            if len(good) > reach:
+                good, cut = good[np.argsort(differ[good], kind="stable")[:reach]], True
+            if len(good):
+                found.append((low + left[good], low + right[good]))
+        if found:
+            a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(v[a], v[b])), pa.array(np.minimum(v[a], v[b])), pa.array(np.full(len(a), cut))], ["v", "w", "cut"])
 
 
 def _across(shared: DataFrame, sets: DataFrame, found: DataFrame, scratch: Scratch, num: int = NUM, den: int = DEN) -> DataFrame:
     """Components after the links that the comparisons with the hubs have missed.
 
-    Only signatures whose members lie in several components count.  What they hold together is a family; its members,
-    sorted by component, are cut into blocks of BLOCK shingles, and two blocks meet in one task unless all of both lie in
-    one component.  A tile gives at most one link for each two components, never its pairs.
+    Only signatures whose members lie in several components count.  Their members meet in tiles of up to two parts of
+    TILE rows (and TILE_SHINGLES shingles), as parity bitmaps; pairs that the bitmaps do not rule out are verified on the
+    whole sets.  A row names at most `reach` partners in a tile; while some had more, the members that are still in
+    different components meet again with a larger reach, so no link is lost.
     """
-    labelled = shared.select("sign", "v", "n").join(found.withColumnRenamed("component", "c"), "v", "left").withColumn("c", F.coalesce("c", "v"))
-    groups = labelled.groupBy("sign").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("v").alias("w")).where("low != high").select("sign", "w")
-    open_rows = scratch.keep(labelled.join(groups, "sign").select("v", "n", "c", "w").distinct())
-    if open_rows.limit(1).count() == 0:
-        return found
-    families = components(open_rows.select("v", "w"), scratch)
-    members = open_rows.select("v", "n", "c").distinct().join(families.withColumnRenamed("component", "family"), "v", "left").withColumn("family", F.coalesce("family", "v"))
-    so_far = Window.partitionBy("family").orderBy("c", "v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = scratch.keep(members.withColumn("block", F.floor((F.sum("n").over(so_far) - F.col("n")) / BLOCK)).select("v", "c", "family", "block"))
-    blocks = placed.groupBy("family", "block").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-    other = blocks.select("family", F.col("block").alias("block2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    tiles = blocks.join(other, "family").where("block <= block2 and (low != high or low2 != high2 or low != low2)").select("family", "block", "block2")
-    sides = tiles.select("family", "block", "block2", F.explode(F.array_distinct(F.array("block", "block2"))).alias("side"))
-    loaded = sets.join(small(placed, placed.count()), "v").select("v", "c", F.col("family").alias("of"), F.col("block").alias("side"), "shingles")
-    filled = sides.join(loaded, (sides["family"] == loaded["of"]) & (sides["side"] == loaded["side"])).select("family", "block", "block2", loaded["side"].alias("side"), "v", "c", "shingles")
-
-    def compare(tile: pa.Table) -> pa.Table:
-        rows: dict[int, list[tuple]] = {}
-        shingles = tile.column("shingles").combine_chunks()
-        flat, ends = shingles.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(np.diff(shingles.offsets.to_numpy()))])
-        for i, (side, v, c) in enumerate(zip(*(tile.column(n).to_pylist() for n in ("side", "v", "c")), strict=True)):
-            rows.setdefault(side, []).append((v, c, np.sort(flat[ends[i] : ends[i + 1]])))
-        left, right = rows.get(tile.column("block")[0].as_py(), []), rows.get(tile.column("block2")[0].as_py(), [])
-        links = _tile(left, right, num, den) if left and right else []
-        return pa.table({"v": pa.array([v for v, _ in links], pa.int64()), "w": pa.array([w for _, w in links], pa.int64())})
-
-    links = scratch.keep(filled.groupBy("family", "block", "block2").applyInArrow(compare, "v long, w long"))
-    scratch.tidy()
-    if links.limit(1).count() == 0:
-        return found
-    return components(found.select("v", F.col("component").alias("w")).unionByName(links), scratch)
+    reach = REACH
+    while True:
+        labelled = shared.select("sign", "v", "n").join(found.withColumnRenamed("component", "c"), "v", "left").withColumn("c", F.coalesce("c", "v"))
+        groups = labelled.groupBy("sign").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles")).where("low != high")
+        parts = F.ceil(F.greatest(F.col("rows") / TILE, F.col("shingles") / TILE_SHINGLES)).cast("int")
+        dealt = labelled.join(groups.select("sign", parts.alias("parts")), "sign").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+        tiled = dealt.select("sign", "v", "c", "part", other).select("sign", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "v", "c")
+        filled = tiled.join(sets.select("v", "n", "bits"), "v").select("sign", "i", "j", "part", "v", "n", "c", "bits")
+
+        def run(batches: Iterator[pa.RecordBatch], reach: int = reach) -> Iterator[pa.RecordBatch]:
+            open_rows: pa.Table | None = None
+            for batch in batches:
+                rows = pa.Table.from_batches([batch])
+                rows = pa.concat_tables([open_rows, rows]) if open_rows is not None else rows
+                if not rows.num_rows:
+                    continue
+                last = np.ones(rows.num_rows, bool)
+                for name in ("sign", "i", "j"):
+                    column = rows.column(name).to_numpy()
+                    last &= column == column[-1]
+                whole = rows.num_rows - int(last[::-1].cumprod().sum())
+                yield from _tiles(rows.slice(0, whole), reach, num, den)
+                open_rows = rows.slice(whole)
+            if open_rows is not None:
+                yield from _tiles(open_rows, reach, num, den)
+
+        pairs = scratch.keep(filled.repartition("sign", "i", "j").sortWithinPartitions("sign", "i", "j").mapInArrow(run, "v long, w long, cut boolean").groupBy("v", "w").agg(F.max("cut").alias("cut")))
+        scratch.tidy()
+        if pairs.limit(1).count() == 0:
+            return found
+        links = scratch.keep(_similar(pairs.select("v", "w"), sets, num, den))
+        if links.limit(1).count():
+            found = components(found.select("v", F.col("component").alias("w")).unionByName(links), scratch)
+        if pairs.where("cut").limit(1).count() == 0:
+            return found
+        reach *= 16
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN, band: float = BAND, weak: int = WEAK, passes: int = 1) -> DataFrame:
@@ -271,13 +352,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     n_wanted = wanted.count()
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), text)
     chosen = rows.join(small(wanted.withColumnRenamed("v", key), n_wanted), key, "left_semi")
-    sets = _sets(chosen, key, text, width, "v long, a long, shingles array<bigint>", _whole)
+    sets = _sets(chosen, key, text, width, "v long, a long, n long, bits binary, shingles array<bigint>", _whole)
     if sizes.where("_vx_doc is not null").groupBy("_vx_doc").count().where("count > 1").limit(1).count():
         sets = sets.dropDuplicates(["v", "a"])
     sets = scratch.keep(sets)
     scratch.drop(wanted)
     scratch.tidy()
-    links = _similar(pairs, sets, num, den)
+    links = _similar(scratch.keep(_may_link(pairs, sets, num, den)), sets, num, den)
     found = components(links, scratch)
     found = _across(shared, sets, found, scratch, num, den)
     keys = sizes.where("_vx_doc is not null and n > 0").groupBy("a", "b").agg(F.min("_vx_doc").alias("v"))
