@@ -66,6 +66,41 @@ def test_subtitles(spark):
     assert col(subtitles.shift(subtitles.parse(df).where("base = 'ep03'"), -1500), "start", "end") == [(0.0, 1.0)]
 
 
+def test_subtitle_details(spark):
+    ass = "[Events]\nDialogue: 0,0:00:01.00,0:00:02.00, Red ,\tBob ,0,0,0,,c"
+    found = subtitles.parse_ass(spark.createDataFrame([("a", ass)], "base string, text string"))
+    assert col(found, "style", "actor", "text") == [("Red", "Bob", "c")]
+    assert tuple(one(spark, X.clean_text(F.lit("a<i\nx>b")), X.clean_text_full(F.lit("a<i\nx>b{\\an8}&amp;lt;")))) == ("a b", "a b&lt;")
+    plain = spark.createDataFrame([("a", "Dialogue: 0,0:00:01.00,0:00:02.00,,,0,0,0,,x")], "base string, text string")
+    assert col(subtitles.parse_ass(plain), "style") == [("Default",)]
+    srt = "1\n0:0:1,000 --> 0:00:02,000\nbad\n\n2\n 0:00:01,000 --> 0:00:02,5 x\n good <b\n>text\n\n3\n--> 0:00:01,000\nbad"
+    assert col(subtitles.parse_srt(spark.createDataFrame([("a", srt)], "base string, text string")), "text", "end") == [("good text", 2.5)]
+    smi = "<SAMI><SYNC id=a\nStart = 1000><P Lang=x Class='KR'>one<SYNC Start=2000><SYNC Start=x><P>y"
+    assert col(subtitles.parse_smi(spark.createDataFrame([("a", smi)], "base string, text string")), "start", "end", "style", "text") == [(1.0, 2.0, "KR", "one")]
+    sniff = spark.createDataFrame([("1:2:3,4 -->", None), ("01:02:03.4 -->", "srt"), ("x", None)], "text string, want string")
+    assert sniff.where(X.subtitle_format(F.col("text")).eqNullSafe(F.col("want"))).count() == 3
+    names = spark.createDataFrame([("\tnoise\n", True), ("\u3000Noise ", True), ("noisy", False), (None, False)], "c string, want boolean")
+    assert names.where(X.is_noise(F.col("c")) == F.col("want")).count() == 4
+
+
+def test_slice_numbers(spark):
+    """Over a million rows all names differ, and numbers go on in order of the bases."""
+    many = spark.range(1_000_003).select(F.concat(F.lit("b"), (F.col("id") % 3).cast("string")).alias("base"), F.col("id").alias("seq"), F.lit(0.0).alias("start"), F.lit(1.0).alias("end"), F.lit("").alias("actor"), F.lit("Default").alias("style"), F.lit("x").alias("text"))
+    found = subtitles.slice_manifest(many)
+    assert found.select("filename").distinct().count() == 1_000_003
+    assert found.agg(F.max(F.col("index").cast("long"))).first()[0] == 1_000_002
+    few = spark.createDataFrame([(b, i) for b in [f"n{k % 300:03d}" for k in range(700)] + [None] for i in range(2)], "base string, seq int").select("base", "seq", *[F.lit(v).alias(c) for c, v in (("start", 0.0), ("end", 1.0), ("actor", ""), ("style", ""), ("text", "t"))])
+    rows = few.where("base is not null").withColumn("seq", F.monotonically_increasing_id())
+    names = [r.filename for r in subtitles.slice_manifest(rows).orderBy(F.col("index").cast("int")).collect()]
+    assert names == sorted(names) and len(set(names)) == 1400
+
+
+def test_long_tracks_are_interpolated_in_proportion(spark):
+    rows = spark.range(80_000).select(F.lit(0).alias("track"), "id", F.when(F.col("id") % 1000 == 0, 100.0).otherwise(0.0).alias("f0"))
+    found = G.interpolate_pitch(rows, ["track"], "id", "f0")
+    assert found.where("abs(f0 - 100) > 1e-9").count() == 0
+
+
 def test_adaptive_filter_edge(spark):
     rows = [("a", "Default", "x")] * 80 + [("a", "Red", "x"), ("b", "Red", "x"), ("b", "Blue", "♪"), ("b", "Blue", "x")] + [("c", "Default", "x")] * 79
     found = S.adaptive_filter(spark.createDataFrame(rows, "base string, style string, text string")).groupBy("base", "mode").count()
@@ -87,8 +122,16 @@ def test_manifest(spark):
     old = spark.createDataFrame([("ep01.wav", "clustering_old", "x"), ("ep09.wav", "clustering_old", "y"), (" ", "z", "w")], "filename string, cluster_dir string, extra string")
     now = spark.createDataFrame([("ep01.wav", "clustering_5", 1.0), ("ep03.wav", "noise", 1.0)], "filename string, cluster_dir string, mtime double")
     refreshed = M.refresh_manifest(old, now, meta)
-    assert tuple(M.refresh_counts(refreshed).first()) == (4, 1, 1, 1)
-    assert col(refreshed.where("extra is not null"), "filename", "cluster_dir") == [(" ", "z"), ("ep01.wav", "clustering_5"), ("ep09.wav", "")]
+    assert tuple(M.refresh_counts(refreshed).first()) == (4, 2, 1, 1)
+    assert col(refreshed, "filename", "cluster_dir", "extra") == [(" ", "z", "w"), ("ep01.wav", "clustering_5", "x"), ("ep03.wav", "noise", ""), ("ep09.wav", "", "y")]
+    fixture = spark.createDataFrame([("ep01_000000.wav", "0", "clustering_old"), (" ep02_000000.wav\t", "1", "clustering_old"), ("ep04.wav", "2", "")], "filename string, index string, cluster_dir string")
+    now = spark.createDataFrame([("ep01_000000.wav", "clustering_5", 1.0), ("ep03_000000.wav", "noise", 1.0)], "filename string, cluster_dir string, mtime double")
+    meta = spark.createDataFrame([("ep03_000000.wav", "2", "3.0")], "filename string, index string, timestamp_start string")
+    assert tuple(M.refresh_counts(M.refresh_manifest(fixture.limit(2), now, meta)).first()) == (3, 2, 1, 1)
+    both = M.refresh_manifest(fixture, now.unionByName(spark.createDataFrame([("ep02_000000.wav", "c", 1.0)], now.schema)), meta)
+    assert tuple(M.refresh_counts(both).first()) == (4, 2, 1, 1)
+    assert col(both.where("status = 'added'"), "filename", "index", "timestamp_start") == [("ep03_000000.wav", "2", "3.0")]
+    assert M.refresh_manifest(fixture.limit(0), now.limit(0), meta).count() == 0
 
 
 def test_latest_and_relabel(spark):
@@ -296,7 +339,7 @@ def test_whole_table_queries_match_brute_force(spark, sf):
         own = np.flatnonzero(e.label == label)
         mean = x[own].mean(axis=0)
         want |= dict(zip(e.vec_id[own], (1 - x[own] @ mean / np.linalg.norm(mean)) / 2, strict=True))
-    found = {r.vec_id: r.distance for r in catalogue.QUERIES["q_half_cosine_centroid"](spark, sf).collect()}
+    found = {r.vec_id: r.distance for r in catalogue.QUERIES["q_half_cosine"](spark, sf).collect()}
     assert found.keys() == want.keys() and all(abs(found[i] - want[i]) < 2e-5 for i in want)
 
     tracks = {}
@@ -308,6 +351,6 @@ def test_whole_table_queries_match_brute_force(spark, sf):
         if own and a < b <= max(own) + 1:
             cut = [own[i] for i in range(a, b)]
             want[r.event_id] = (r.event_id % 8, len(cut), sum(cut), cut[0])
-    found = {r.seq: (r.track, r.n, r.total, r["first"]) for r in catalogue.QUERIES["q_slice_samples_all"](spark, sf).collect()}
+    found = {r.seq: (r.track, r.n, r.total, r["first"]) for r in catalogue.QUERIES["q_slice_samples"](spark, sf).collect()}
     assert found.keys() == want.keys() and len(want) > 0
     assert all(found[k][:2] == want[k][:2] and abs(found[k][2] - want[k][2]) < 1e-5 and abs(found[k][3] - want[k][3]) < 1e-5 for k in want)

@@ -20,23 +20,30 @@ SNIFF_CHARS = 20_000
 NO_SUFFIX = 1_000_000_000
 
 SPACE = r"[\s\p{Z}]+"
+#: All characters that count as white space at the ends of a field.
+EDGES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
+def strip(c: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.btrim(c, F.lit(EDGES))
 
 
 def blank(c: Column) -> Column:
-    """Trimmed text, the empty string for a null: how a manifest writes a missing value."""
-    return F.coalesce(F.trim(c), F.lit(""))
+    """Stripped text, the empty string for a null: how a manifest writes a missing value."""
+    return F.coalesce(strip(c), F.lit(""))
 
 
 def safe_int(c: Column, default: int = 0) -> Column:
-    return F.coalesce(F.trim(c).try_cast("int"), F.lit(default))
+    return F.coalesce(strip(c).try_cast("int"), F.lit(default))
 
 
 def safe_float(c: Column, default: float = 0.0) -> Column:
-    return F.coalesce(F.trim(c).try_cast("double"), F.lit(default))
+    return F.coalesce(strip(c).try_cast("double"), F.lit(default))
 
 
 def positive_int(c: Column) -> Column:
-    value = F.trim(c).try_cast("int")
+    value = strip(c).try_cast("int")
     return F.when(value >= 1, value)
 
 
@@ -64,7 +71,7 @@ def clean_text(c: Column) -> Column:
     c = F.regexp_replace(c, r"\\[Nn]", " ")
     c = F.regexp_replace(c, r"(?i)<br\s*/?>", " ")
     c = F.regexp_replace(c, r"\{[^}\n]*\}", "")
-    c = F.regexp_replace(c, r"<[^>\n]+>", " ")
+    c = F.regexp_replace(c, r"<[^>]+>", " ")
     for entity, char in ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(char))
     c = F.regexp_replace(c, SPACE, " ")
@@ -82,7 +89,7 @@ def clean_text_full(c: Column) -> Column:
     """`clean_text` with every character reference decoded (an Arrow UDF between JVM-side steps)."""
     c = F.regexp_replace(F.coalesce(c, F.lit("")), "\r\n?", "\n")
     c = F.regexp_replace(F.regexp_replace(c, r"\\[Nn]", " "), r"(?i)<br\s*/?>", " ")
-    c = F.regexp_replace(F.regexp_replace(c, r"\{[^}\n]*\}", ""), r"<[^>\n]+>", " ")
+    c = F.regexp_replace(F.regexp_replace(c, r"\{[^}\n]*\}", ""), r"<[^>]+>", " ")
     return F.trim(F.regexp_replace(unescape(c), SPACE, " "))
 
 
@@ -93,7 +100,7 @@ def subtitle_format(text: Column, name: Column | None = None) -> Column:
     return (
         F.when(head.contains("<sync") | head.contains("<sami"), "smi")
         .when(head.contains("dialogue:") & head.contains("[events]"), "ass")
-        .when(head.contains("-->") & head.rlike(r"\d+:\d+:\d+[,.]\d+"), "srt")
+        .when(head.contains("-->") & head.rlike(r"\d+:\d{2}:\d{2}[,.]\d+"), "srt")
         .otherwise(by_name)
     )
 
@@ -101,7 +108,7 @@ def subtitle_format(text: Column, name: Column | None = None) -> Column:
 def actor(actor_: Column, style: Column) -> Column:
     """The actor, else what follows the style's first dash, else the style unless it is the default, else Unknown."""
     style = blank(style)
-    after = F.trim(F.regexp_extract(style, r"(?s)^[^-]*-(.*)$", 1))
+    after = strip(F.regexp_extract(style, r"(?s)^[^-]*-(.*)$", 1))
     return F.coalesce(F.nullif(blank(actor_), F.lit("")), F.nullif(after, F.lit("")), F.when((style != "") & (F.lower(style) != "default"), style), F.lit("Unknown"))
 
 
@@ -151,6 +158,6 @@ def cluster_number(cluster: Column) -> Column:
 
 def label_check(name: Column) -> Column:
     """struct(ok, clean, reason): rules in order are empty, noise, reserved, separator."""
-    clean = F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
+    clean = blank(name)
     reason = F.when(clean == "", "empty").when(is_noise(clean), "noise").when(is_unlabeled(clean), "reserved").when(clean.rlike(r"[/\\]"), "separator").otherwise("")
     return F.struct((reason == "").alias("ok"), clean.alias("clean"), reason.alias("reason"))

@@ -62,21 +62,43 @@ def export_manifest(assignments: DataFrame, metadata: DataFrame, include: DataFr
 
 
 def refresh_manifest(manifest: DataFrame, assignments: DataFrame, metadata: DataFrame) -> DataFrame:
-    """The manifest with current clusters (empty where a file is gone) and unseen files added; status is kept, changed, missing or added.  Extra columns stay."""
-    now = latest_assignment(assignments).select("filename", F.col("cluster_dir").alias("_now"))
-    old = F.coalesce("cluster_dir", F.lit(""))
-    named = X.blank(F.col("filename")) != ""
-    new = F.when(named, F.coalesce("_now", F.lit(""))).otherwise(old)
-    status = F.when(named & F.col("_now").isNull(), "missing").when(new != old, "changed").otherwise("kept")
-    known = manifest.join(now, "filename", "left").withColumn("status", status).withColumn("cluster_dir", new).drop("_now")
-    unseen = now.join(manifest.select("filename").distinct(), "filename", "left_anti").withColumnRenamed("_now", "cluster_dir")
-    added = unseen.join(metadata, "filename", "left").withColumn("status", F.lit("added"))
-    return known.unionByName(added, allowMissingColumns=True)
+    """The manifest with current clusters (empty where a file is gone) and unseen files added; status is kept, changed, missing or added.
+
+    `changed` and `missing` are flags as well: a missing file whose row named a cluster counts as both.  Names match
+    without white space at their ends; a row without a name stays as it is.  Extra columns stay, empty in added rows.
+    One full outer join on the name gives both sides.
+    """
+    now = latest_assignment(assignments).select(F.col("filename").alias("_name"), F.col("cluster_dir").alias("_now"))
+    told = [c for c in metadata.columns if c not in ("filename", "cluster_dir")]
+    now = now.join(metadata.select(F.col("filename").alias("_name"), *[F.col(c).alias(f"_of_{c}") for c in told]), "_name", "left")
+    kept = [c for c in manifest.columns if c not in ("filename", "cluster_dir")]
+    listed = manifest.withColumn("_row", F.lit(True)).withColumn("_key", F.nullif(X.blank(F.col("filename")), F.lit("")))
+    both = listed.join(now, F.col("_key") == F.col("_name"), "full_outer")
+    added, named = F.col("_row").isNull(), F.col("_key").isNotNull()
+    old, found = X.blank(F.col("cluster_dir")), F.coalesce("_now", F.lit(""))
+    changed, missing = ~added & named & (old != found), ~added & named & (found == "")
+
+    def other(c: str) -> Column:
+        new = F.col(f"_of_{c}") if c in told else F.lit(None)
+        if c not in kept:
+            return F.when(added, new).alias(c)
+        kind = manifest.schema[c].dataType
+        new = new.cast(kind)
+        return F.when(added, F.coalesce(new, F.lit("")) if kind.simpleString() == "string" else new).otherwise(F.col(c)).alias(c)
+
+    return both.select(
+        F.when(added, F.col("_name")).otherwise(F.col("filename")).alias("filename"),
+        F.when(added | named, found).otherwise(F.col("cluster_dir")).alias("cluster_dir"),
+        *[other(c) for c in dict.fromkeys([*kept, *told])],
+        F.when(added, "added").when(missing, "missing").when(changed, "changed").otherwise("kept").alias("status"),
+        changed.alias("changed"),
+        missing.alias("missing"),
+    )
 
 
 def refresh_counts(refreshed: DataFrame) -> DataFrame:
-    of = lambda s: F.count_if(F.col("status") == s)
-    return refreshed.agg(F.count(F.lit(1)).alias("n_rows"), of("changed").alias("changed"), of("added").alias("added"), of("missing").alias("missing"))
+    """One row of counts; a missing file may count as changed, too."""
+    return refreshed.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("changed").alias("changed"), F.count_if(F.col("status") == "added").alias("added"), F.count_if("missing").alias("missing"))
 
 
 def relabel(assignments: DataFrame, source: str, target: str) -> DataFrame:

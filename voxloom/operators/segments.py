@@ -144,7 +144,7 @@ def sami_cues(cues: DataFrame, keys: list[str], start: str = "start_ms", text: s
     return kept.withColumn("start", F.col(start) / 1000.0).withColumn("end", F.col("_next") / 1000.0).drop("_next")
 
 
-def silence_slices(samples: DataFrame, rate: int, threshold_db: float = -40.0, min_length: int = 5000, min_interval: int = 300, hop: int = 20, max_kept: int = 500) -> DataFrame:
+def silence_slices(samples: DataFrame, rate: int, threshold_db: float = -40.0, min_length: int = 5000, min_interval: int = 300, hop: int = 20, max_kept: int = 5000) -> DataFrame:
     """(track, piece, start, end in samples): pieces between silent stretches, cut at the quietest frame that leaves at most `max_kept` ms of silence on either side (all times in ms).
 
     The cut rule carries state from frame to frame, so frames (not samples) of a track are folded in one task.
@@ -192,8 +192,8 @@ Transcriber = Callable[[np.ndarray, int], list[tuple[float | None, float | None,
 def refine(segments: DataFrame, transcribe: Transcriber, rate: int = 16_000, mode: str = "corrected") -> DataFrame:
     """(file, start, end, text) of speech segments (file, start, samples) by an injected recogniser that hears at most 30 s at a time.
 
-    mode `reference` keeps the known drift (each sentence is offset by the end of the one before it) and loses a tail of
-    under 30 s; `corrected` offsets by the chunk's own start and goes on to the end.  Segments of over ten chunks go.
+    mode `reference` keeps the known drift (each sentence is offset by the end of the one before it), goes on by that end
+    after a chunk without a good sentence, and loses a tail of under 30 s; `corrected` offsets by the chunk's own start and goes on to the end.  Segments of over ten chunks go.
     """
     if mode not in ("reference", "corrected"):
         raise ValueError(mode)
@@ -214,9 +214,7 @@ def refine(segments: DataFrame, transcribe: Transcriber, rate: int = 16_000, mod
                 out.append((s + offset, e + offset, t))
                 drift = e
             if not good:
-                if mode == "reference":
-                    break
-                at += whole
+                at += int(drift * rate) if mode == "reference" else whole
             else:
                 at += max(1, int(good[-1][1] * rate))
         return out

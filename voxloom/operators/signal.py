@@ -163,18 +163,20 @@ def zero_fill_sum(rows: DataFrame, key: list[str], value: str = "v") -> DataFram
     return rows.groupBy(*key).agg(F.sum(value).alias(value))
 
 
-def stft_ensemble(rows: DataFrame, how: str, n_fft: int = 2048, hop: int = 1024) -> DataFrame:
-    """(track, samples) from (track, src, samples) by min or max magnitude in the short-time spectrum, or its mean or median; one track's sources are one group."""
+def stft_ensemble(rows: DataFrame, how: str, n_fft: int = 2048, hop: int = 1024, weights: dict | None = None) -> DataFrame:
+    """(track, samples) from (track, src, samples) by min or max magnitude in the short-time spectrum, or its mean (weighted by `weights`, src -> weight, 1 where not given) or median; one track's sources are one group."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        waves = [np.asarray(x, float) for x in pdf.sort_values("src")["samples"]]
+        pdf = pdf.sort_values("src")
+        waves = [np.asarray(x, float) for x in pdf["samples"]]
         n = max(map(len, waves))
         spectra = np.array([stft(np.pad(x, (0, n - len(x))), n_fft, hop) for x in waves])
         if how in ("min", "max"):
             pick = (np.abs(spectra).argmin if how == "min" else np.abs(spectra).argmax)(axis=0)
             out = np.take_along_axis(spectra, pick[None], axis=0)[0]
         else:
-            out = spectra.mean(axis=0) if how == "avg" else np.median(spectra.real, axis=0) + 1j * np.median(spectra.imag, axis=0)
+            share = [(weights or {}).get(s, 1.0) for s in pdf["src"]]
+            out = np.tensordot(share, spectra, 1) / sum(share) if how == "avg" else np.median(spectra.real, axis=0) + 1j * np.median(spectra.imag, axis=0)
         return pd.DataFrame({"track": [pdf["track"].iloc[0]], "samples": [istft(out, n, n_fft, hop)]})
 
     return rows.groupBy("track").applyInPandas(run, rows.select("track", "samples").schema)
@@ -295,9 +297,11 @@ def interpolate_pitch(rows: DataFrame, keys: list[str], order: str, f0: str) ->
     """f0 with unvoiced (zero) stretches filled, linear in octaves between their voiced ends, constant beyond the first and last."""
     log = F.when(F.col(f0) > 0, F.log2(f0))
     w = Window.partitionBy(*keys).orderBy(order)
-    past, future = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    # both frames grow from their first row on; one that shrinks to the last row would be computed anew for each row
+    past = w.rowsBetween(Window.unboundedPreceding, 0)
+    future = Window.partitionBy(*keys).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
     voiced = F.when(F.col(f0) > 0, F.struct(F.col(order).alias("t"), log.alias("y")))
-    ends = rows.withColumn("_a", F.last(voiced, ignorenulls=True).over(past)).withColumn("_b", F.first(voiced, ignorenulls=True).over(future))
+    ends = rows.withColumn("_a", F.last(voiced, ignorenulls=True).over(past)).withColumn("_b", F.last(voiced, ignorenulls=True).over(future))
     a, b = F.col("_a"), F.col("_b")
     share = (F.col(order) - a["t"]) / F.greatest(b["t"] - a["t"], F.lit(1))
     y = F.when(a.isNull(), b["y"]).when(b.isNull(), a["y"]).otherwise(a["y"] + (b["y"] - a["y"]) * share)

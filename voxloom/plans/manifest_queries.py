@@ -41,13 +41,13 @@ def q_variant_choice(spark, sf_dir):
 
 
 @query(
-    "WITH s AS (SELECT 'f' || o_orderkey AS filename, o_orderkey AS row_no, 0 AS src, o_orderpriority AS transcript FROM orders UNION ALL SELECT CASE WHEN l_orderkey % 10 = 0 THEN ' ' ELSE ' f' || l_orderkey || ' ' END, l_orderkey * 10 + l_linenumber, 1, max(l_returnflag) || l_linenumber FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY l_orderkey, l_linenumber) "
+    "WITH s AS (SELECT 'f' || o_orderkey AS filename, o_orderkey AS row_no, 0 AS src, o_orderpriority AS transcript FROM orders UNION ALL SELECT CASE WHEN l_orderkey % 10 = 0 THEN ' ' ELSE ' f' || l_orderkey || ' ' END, l_orderkey * 10 + l_linenumber, 1, max(l_returnflag) || l_linenumber FROM lineitem GROUP BY l_orderkey, l_linenumber) "
     "SELECT filename, transcript FROM (SELECT trim(filename) AS filename, transcript, row_number() OVER (PARTITION BY trim(filename) ORDER BY src DESC, row_no DESC) AS rn FROM s WHERE trim(filename) <> '') WHERE rn = 1"
 )
 def q_metadata_precedence(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.concat(F.lit("f"), F.col("o_orderkey").cast("string")).alias("filename"), F.col("o_orderkey").alias("row_no"), F.col("o_orderpriority").alias("transcript"))
     name = F.when(F.col("l_orderkey") % 10 == 0, " ").otherwise(F.concat(F.lit(" f"), F.col("l_orderkey").cast("string"), F.lit(" ")))
-    lines = table(spark, sf_dir, "lineitem").where("l_orderkey % 2 = 0").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("l_returnflag"))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("l_returnflag"))
     rows = lines.select(name.alias("filename"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_no"), F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("transcript"))
     return M.merge_metadata(o, rows).select("filename", "transcript")
 
@@ -84,23 +84,23 @@ def q_manifest_export(spark, sf_dir):
 
 def _refreshed(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    old = o.select(F.concat(F.lit("w"), F.col("o_orderkey").cast("string"), F.lit(".wav")).alias("filename"), F.col("o_orderpriority").alias("note"), F.concat(F.lit("clustering_"), (F.col("o_orderkey") % 12).cast("string")).alias("cluster_dir"))
+    old = o.select(F.concat(F.when(F.col("o_orderkey") % 5 == 0, " ").otherwise(""), F.lit("w"), F.col("o_orderkey").cast("string"), F.lit(".wav")).alias("filename"), F.col("o_orderpriority").alias("note"), F.concat(F.lit("clustering_"), (F.col("o_orderkey") % 12).cast("string")).alias("cluster_dir"))
     return M.refresh_manifest(old, _assignments(spark, sf_dir), _metadata(spark, sf_dir))
 
 
 _REFRESH = (
-    f"WITH a AS ({_LATEST}), o AS (SELECT 'w' || o_orderkey || '.wav' AS filename, o_orderpriority AS note, 'clustering_' || o_orderkey % 12 AS old FROM orders), "
-    "k AS (SELECT o.filename, note, coalesce(a.cluster_dir, '') AS cluster_dir, CASE WHEN a.cluster_dir IS NULL THEN 'missing' WHEN a.cluster_dir <> old THEN 'changed' ELSE 'kept' END AS status FROM o LEFT JOIN a ON o.filename = a.filename), "
-    "n AS (SELECT filename, NULL AS note, cluster_dir, 'added' AS status FROM a WHERE filename NOT IN (SELECT filename FROM o)), r AS (SELECT * FROM k UNION ALL SELECT * FROM n) "
+    f"WITH a AS ({_LATEST}), o AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN ' ' ELSE '' END || 'w' || o_orderkey || '.wav' AS filename, o_orderpriority AS note, 'clustering_' || o_orderkey % 12 AS old FROM orders), "
+    "k AS (SELECT o.filename, note, coalesce(a.cluster_dir, '') AS cluster_dir, CASE WHEN a.cluster_dir IS NULL THEN 'missing' WHEN a.cluster_dir <> old THEN 'changed' ELSE 'kept' END AS status, coalesce(a.cluster_dir, '') <> old AS changed, a.cluster_dir IS NULL AS missing FROM o LEFT JOIN a ON trim(o.filename) = a.filename), "
+    "n AS (SELECT filename, '' AS note, cluster_dir, 'added' AS status, false AS changed, false AS missing FROM a WHERE filename NOT IN (SELECT trim(filename) FROM o)), r AS (SELECT * FROM k UNION ALL SELECT * FROM n) "
 )
 
 
-@query(_REFRESH + "SELECT filename, note, cluster_dir, status FROM r")
+@query(_REFRESH + "SELECT filename, note, cluster_dir, status, changed, missing FROM r")
 def q_manifest_refresh(spark, sf_dir):
-    return _refreshed(spark, sf_dir).select("filename", "note", "cluster_dir", "status")
+    return _refreshed(spark, sf_dir).select("filename", "note", "cluster_dir", "status", "changed", "missing")
 
 
-@query(_REFRESH + "SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (WHERE status = 'changed')::BIGINT AS changed, count(*) FILTER (WHERE status = 'added')::BIGINT AS added, count(*) FILTER (WHERE status = 'missing')::BIGINT AS missing FROM r")
+@query(_REFRESH + "SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (WHERE changed)::BIGINT AS changed, count(*) FILTER (WHERE status = 'added')::BIGINT AS added, count(*) FILTER (WHERE missing)::BIGINT AS missing FROM r")
 def q_manifest_refresh_counts(spark, sf_dir):
     return M.refresh_counts(_refreshed(spark, sf_dir))
 
@@ -161,12 +161,12 @@ def q_label_choices(spark, sf_dir):
 def _pending(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     rows = e.select(F.col("event_id").alias("seq"), F.when(F.col("event_id") % 50 == 0, " ").otherwise(F.concat(F.lit("c"), (F.col("user_id") % 40).cast("string"))).alias("source_cluster"), F.col("event_type").alias("target_label"))
-    return M.normalize_pending(rows.where("seq % 2 = 0")), rows.where("seq % 2 = 1 and seq % 50 <> 0 and seq % 9 = 0")
+    return M.normalize_pending(rows.where("seq % 2 = 0")), rows.where("seq % 2 = 1")
 
 
 _PENDING = (
     "WITH r AS (SELECT event_id AS seq, CASE WHEN event_id % 50 = 0 THEN '' ELSE 'c' || user_id % 40 END AS source_cluster, event_type AS target_label FROM events), "
-    "p AS (SELECT * FROM r WHERE seq % 2 = 0 AND source_cluster <> '' QUALIFY row_number() OVER (PARTITION BY source_cluster ORDER BY seq) = 1), c AS (SELECT * FROM r WHERE seq % 2 = 1 AND seq % 50 <> 0 AND seq % 9 = 0) "
+    "p AS (SELECT * FROM r WHERE seq % 2 = 0 AND source_cluster <> '' QUALIFY row_number() OVER (PARTITION BY source_cluster ORDER BY seq) = 1), c AS (SELECT * FROM r WHERE seq % 2 = 1) "
 )
 
 

@@ -70,20 +70,12 @@ def q_frame_rms(spark, sf_dir):
 
 
 @query(
-    f"WITH s AS ({_SAMPLES}), n AS (SELECT track, max(i) + 1 AS n FROM s GROUP BY track), c AS (SELECT event_id % 8 AS track, event_id AS seq, event_id // 16 AS a, event_id // 16 + user_id AS b FROM events WHERE event_id % 97 = 0), "
+    f"WITH s AS ({_SAMPLES}), n AS (SELECT track, max(i) + 1 AS n FROM s GROUP BY track), c AS (SELECT event_id % 8 AS track, event_id AS seq, event_id // 16 AS a, event_id // 16 + user_id AS b FROM events), "
     "k AS (SELECT c.* FROM c JOIN n ON c.track = n.track WHERE b <= n AND b > a) SELECT k.track, k.seq, count(*)::INT AS n, round(sum(v), 6) + 0.0 AS total, round(arg_min(v, i), 6) + 0.0 AS first FROM k JOIN s ON k.track = s.track AND s.i >= a AND s.i < b GROUP BY k.track, k.seq"
 )
 def q_slice_samples(spark, sf_dir):
-    return _slices(spark, sf_dir, table(spark, sf_dir, "events").where("event_id % 97 = 0"))
-
-
-@query()
-def q_slice_samples_all(spark, sf_dir):
     """Every event as a cut."""
-    return _slices(spark, sf_dir, table(spark, sf_dir, "events"))
-
-
-def _slices(spark, sf_dir, e):
+    e = table(spark, sf_dir, "events")
     start = F.floor(F.col("event_id") / 16)
     cuts = e.select((F.col("event_id") % 8).alias("track"), F.col("event_id").alias("seq"), start.cast("double").alias("start"), (start + F.col("user_id")).cast("double").alias("end"))
     found = S.slice_samples(S.chunked(_samples(spark, sf_dir), 64), cuts, 64, 1.0)

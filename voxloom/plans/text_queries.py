@@ -44,7 +44,7 @@ def _clean_sql(c: str) -> str:
     c = f"regexp_replace({c}, '\\\\[Nn]', ' ', 'g')"
     c = f"regexp_replace({c}, '(?i)<br\\s*/?>', ' ', 'g')"
     c = f"regexp_replace({c}, '\\{{[^}}\\n]*\\}}', '', 'g')"
-    c = f"regexp_replace({c}, '<[^>\\n]+>', ' ', 'g')"
+    c = f"regexp_replace({c}, '<[^>]+>', ' ', 'g')"
     for entity, char in X.ENTITIES:
         char = char.replace("'", "''")
         c = f"replace({c}, '{entity}', '{char}')"
@@ -62,7 +62,7 @@ _VARIANTS = (("smi", "<SAMI><SYNC Start=1>"), ("ass", "[Events]\nDialogue: "), (
 
 @query(
     "WITH t AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '<SAMI><SYNC Start=1>' WHEN 1 THEN '[Events]' || chr(10) || 'Dialogue: ' WHEN 2 THEN '0:00:01,000 --> 0:00:02,000' || chr(10) ELSE '' END || text AS text, 'f' || doc_id || CASE WHEN doc_id % 8 = 3 THEN '.SRT' ELSE '.txt' END AS name FROM documents), "
-    "h AS (SELECT doc_id, name, lower(substr(text, 1, 20000)) AS h FROM t) SELECT doc_id, CASE WHEN contains(h, '<sync') OR contains(h, '<sami') THEN 'smi' WHEN contains(h, 'dialogue:') AND contains(h, '[events]') THEN 'ass' WHEN contains(h, '-->') AND regexp_matches(h, '\\d+:\\d+:\\d+[,.]\\d+') THEN 'srt' WHEN name LIKE '%.SRT' THEN 'srt' END AS format FROM h"
+    "h AS (SELECT doc_id, name, lower(substr(text, 1, 20000)) AS h FROM t) SELECT doc_id, CASE WHEN contains(h, '<sync') OR contains(h, '<sami') THEN 'smi' WHEN contains(h, 'dialogue:') AND contains(h, '[events]') THEN 'ass' WHEN contains(h, '-->') AND regexp_matches(h, '\\d+:\\d{2}:\\d{2}[,.]\\d+') THEN 'srt' WHEN name LIKE '%.SRT' THEN 'srt' END AS format FROM h"
 )
 def q_format_sniff(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
@@ -96,13 +96,13 @@ def q_sami_cues(spark, sf_dir):
 
 
 @query(
-    "WITH r AS (SELECT conv_id % 5 AS base, conv_id, turn, CASE role WHEN 'user' THEN 'Default' WHEN 'system' THEN 'Red' ELSE (turn % 100)::VARCHAR || '-voice' END AS style, text FROM conversations WHERE conv_id % 5 < 4 OR role <> 'user'), "
+    "WITH r AS (SELECT conv_id % 5 AS base, conv_id, turn, CASE WHEN role = 'user' AND conv_id % 5 = 4 THEN 'Talk' WHEN role = 'user' THEN 'Default' WHEN role = 'system' THEN 'Red' ELSE (turn % 100)::VARCHAR || '-voice' END AS style, text FROM conversations), "
     "p AS (SELECT *, style = 'Default' OR regexp_matches(style, '^\\d+-') AS p1 FROM r), n AS (SELECT *, count(*) FILTER (WHERE p1) OVER (PARTITION BY base) >= 80 AS first FROM p) "
     "SELECT base, conv_id, turn, CASE WHEN first THEN 'phase1' ELSE 'phase2' END AS mode FROM n WHERE CASE WHEN first THEN p1 ELSE NOT regexp_matches(style, '(?i)(op|ed|title|sign|kara|lyric|gasa|ruby|cell|mail|phone|cm|preview)') AND NOT regexp_matches(text, '♪|♬') END"
 )
 def q_adaptive_filter(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").where((F.col("conv_id") % 5 < 4) | (F.col("role") != "user"))
-    style = F.when(F.col("role") == "user", F.lit("Default")).when(F.col("role") == "system", F.lit("Red")).otherwise(F.concat((F.col("turn") % 100).cast("string"), F.lit("-voice")))
+    c = table(spark, sf_dir, "conversations")
+    style = F.when((F.col("role") == "user") & (F.col("conv_id") % 5 == 4), F.lit("Talk")).when(F.col("role") == "user", F.lit("Default")).when(F.col("role") == "system", F.lit("Red")).otherwise(F.concat((F.col("turn") % 100).cast("string"), F.lit("-voice")))
     rows = c.select((F.col("conv_id") % 5).alias("base"), "conv_id", "turn", style.alias("style"), "text")
     return S.adaptive_filter(rows).select("base", "conv_id", "turn", "mode")
 

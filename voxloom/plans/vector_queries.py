@@ -32,16 +32,8 @@ def q_cosine_pairs(spark, sf_dir):
     return found.select("vec_id", "other", (F.round("similarity", 6) + 0.0).alias("similarity"))
 
 
-@query(f"WITH u AS ({_UNIT}) SELECT a.vec_id, b.vec_id AS other, round((1 - least(greatest(list_sum(list_transform(range(1, 65), lambda i: a.u[i] * b.u[i])), -1.0), 1.0)) / 2, 5) AS distance FROM u a JOIN u b ON a.label = b.label AND a.vec_id < b.vec_id WHERE a.vec_id % 10 = 0")
+@query(f"WITH {_MEANS} SELECT vec_id, l.label, round((1 - least(greatest(sum(x * c), -1.0), 1.0)) / 2, 5) AS distance FROM l JOIN c ON l.label = c.label AND l.i = c.i GROUP BY vec_id, l.label")
 def q_half_cosine(spark, sf_dir):
-    u = _rows(spark, sf_dir).select("vec_id", "label", V.unit(F.col("embedding")).alias("u"))
-    a = u.where("vec_id % 10 = 0")
-    b = u.select(F.col("vec_id").alias("other"), "label", F.col("u").alias("w"))
-    return a.join(b, "label").where("vec_id < other").select("vec_id", "other", F.round(V.half_cosine(V.dot(F.col("u"), F.col("w"))), 5).alias("distance"))
-
-
-@query()
-def q_half_cosine_centroid(spark, sf_dir):
     """Every vector's half-cosine distance to the centroid of its label."""
     rows = _rows(spark, sf_dir)
     means = V.centroids(rows, "label").select("label", "centroid")
@@ -119,10 +111,11 @@ def _seeds(spark, sf_dir):
 _STEP = f"WITH {_MEANS}, s AS (SELECT l.vec_id, c.label, sum(l.x * c.c) AS s FROM l JOIN c ON l.i = c.i GROUP BY l.vec_id, c.label), b AS (SELECT vec_id, label, s FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) = 1)"
 
 
-@query(f"{_STEP}, q AS (SELECT b.label, l.i, avg(l.x) AS m, count(*) AS n FROM l JOIN b ON l.vec_id = b.vec_id GROUP BY b.label, l.i) SELECT label::INT AS label, max(n)::BIGINT AS n, round(arg_min(m, i) / sqrt(sum(m * m)), 6) + 0.0 AS first FROM q GROUP BY label")
+@query(f"{_STEP}, q AS (SELECT b.label, l.i, avg(l.x) AS m, count(*) AS n FROM l JOIN b ON l.vec_id = b.vec_id GROUP BY b.label, l.i) SELECT label::INT AS label, i::INT AS i, n::BIGINT AS n, round(m / sqrt(sum(m * m) OVER (PARTITION BY label)), 6) + 0.0 AS centroid FROM q")
 def q_kmeans_step(spark, sf_dir):
     found = V.kmeans_step(_rows(spark, sf_dir), _seeds(spark, sf_dir))
-    return found.select("label", "n", (F.round(F.col("centroid")[0], 6) + 0.0).alias("first"))
+    long = found.select("label", "n", F.posexplode("centroid").alias("i", "x"))
+    return long.select("label", (F.col("i") + 1).cast("int").alias("i"), "n", (F.round("x", 6) + 0.0).alias("centroid"))
 
 
 @query(f"{_STEP} SELECT vec_id, CASE WHEN (1 - least(greatest(s, -1.0), 1.0)) / 2 > {GATE} THEN -1 ELSE label END::INT AS label FROM b")
@@ -146,10 +139,13 @@ def q_recluster(spark, sf_dir):
     return V.recluster(_rows(spark, sf_dir), gate=GATE).withColumn("cluster_dir", V.cluster_name(F.col("label")))
 
 
-@query(f"WITH {_LONG}, a AS (SELECT vec_id, x FROM l WHERE i = 1), b AS (SELECT vec_id, x FROM l WHERE i = 2) SELECT a.vec_id, round((0.8 * a.x + 0.2 * b.x + 0.8 * a.x + 0.2 * b.x + 0.8 * a.x + 0.2 * b.x) / 3, 6) + 0.0 AS \"left\", round((0.8 * b.x + 0.2 * a.x + 0.8 * b.x + 0.2 * a.x + 0.8 * b.x + 0.2 * a.x) / 3, 6) + 0.0 AS \"right\" FROM a JOIN b ON a.vec_id = b.vec_id")
+@query(f"WITH {_LONG}, a AS (SELECT vec_id, i // 2 AS pair, x FROM l WHERE i % 2 = 1), b AS (SELECT vec_id, i // 2 - 1 AS pair, x FROM l WHERE i % 2 = 0) SELECT a.vec_id, a.pair::INT AS pair, round((0.8 * a.x + 0.2 * b.x + 0.8 * a.x + 0.2 * b.x + 0.8 * a.x + 0.2 * b.x) / 3, 6) + 0.0 AS \"left\", round((0.8 * b.x + 0.2 * a.x + 0.8 * b.x + 0.2 * a.x + 0.8 * b.x + 0.2 * a.x) / 3, 6) + 0.0 AS \"right\" FROM a JOIN b ON a.vec_id = b.vec_id AND a.pair = b.pair")
 def q_tta_average(spark, sf_dir):
     from voxloom.operators.signal import test_time_average
 
-    u = _rows(spark, sf_dir).select("vec_id", V.unit(F.col("embedding")).alias("u")).select("vec_id", F.col("u")[0].alias("left"), F.col("u")[1].alias("right"))
-    found = test_time_average(u, "vec_id", "left", "right", lambda a, b: (0.8 * a + 0.2 * b, 0.8 * b + 0.2 * a))
-    return found.select("vec_id", (F.round("left", 6) + 0.0).alias("left"), (F.round("right", 6) + 0.0).alias("right"))
+    long = _rows(spark, sf_dir).select("vec_id", F.posexplode(V.unit(F.col("embedding"))).alias("i", "x")).withColumn("pair", F.floor(F.col("i") / 2).cast("int"))
+    u = long.groupBy("vec_id", "pair").agg(F.max(F.when(F.col("i") % 2 == 0, F.col("x"))).alias("left"), F.max(F.when(F.col("i") % 2 == 1, F.col("x"))).alias("right"))
+    u = u.withColumn("row", F.concat_ws("/", "vec_id", "pair"))
+    found = test_time_average(u, "row", "left", "right", lambda a, b: (0.8 * a + 0.2 * b, 0.8 * b + 0.2 * a))
+    found = found.select(F.split("row", "/")[0].cast("long").alias("vec_id"), F.split("row", "/")[1].cast("int").alias("pair"), "left", "right")
+    return found.select("vec_id", "pair", (F.round("left", 6) + 0.0).alias("left"), (F.round("right", 6) + 0.0).alias("right"))
