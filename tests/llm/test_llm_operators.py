@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -424,6 +425,24 @@ def test_sharding(spark, awkward, empty):
     assert order == [r.doc_id for r in sorted(sharding.shuffle(df, shards=7, bucket_bytes=4000).collect(), key=lambda r: (r.shard, r.slot))]
     assert sharding.shuffle(awkward).count() == 11 and sharding.shuffle(empty).count() == 0
     assert sorted(sharding.fisher_yates(50, 1, 2)) == list(range(50))
+    nameless = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    assert Counter(r.shard for r in sharding.shuffle(nameless, shards=7, bucket_bytes=4000).collect()) == {0: 429, 1: 429, 2: 428, 3: 429, 4: 428, 5: 429, 6: 428}
+
+
+def test_written_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "PART_ROWS", 30)
+    df = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    sharding.write_shards(df, f"{tmp_path}/out", shards=4, bucket_bytes=2000)
+    want = {(r.doc_id, r.shard, r.slot) for r in sharding.shuffle(df, shards=4, bucket_bytes=2000).collect()}
+    files = sorted((tmp_path / "out").glob("*/*/*.parquet"))
+    assert len(files) == 4 * 5
+    found = set()
+    for f in files:
+        part = pq.read_table(f, partitioning=None)
+        slots, shard = part.column("slot").to_pylist(), int(f.parent.parent.name.partition("=")[2])
+        assert slots == sorted(slots) and {s // 30 for s in slots} == {int(f.parent.name.partition("=")[2])}
+        found |= {(i, shard, s) for i, s in zip(part.column("doc_id").to_pylist(), slots, strict=True)}
+    assert found == want
 
 
 # 8 sketches
@@ -454,6 +473,18 @@ def test_sketches_follow_descending_ids(spark, awkward, empty):
     assert len(single) == 1 and single[0].edited_sha256 == hashlib.sha256(sketches.edited("né à Zürich", "né à Zürich").encode()).hexdigest()
 
 
+def test_sketches_split_a_hot_id(spark):
+    """One id and null ids with most rows lie in many ranges; the chain through them stays whole."""
+    rows = [(7 if i % 3 else None if i % 2 else i, f"t{i} " + "x y " * (i % 5)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ranges = {(r.doc_id, r._vx_range) for r in sketches.in_descending_order(docs, 500).where("_vx_ghost = 0").collect()}
+    assert sum(i == 7 for i, _ in ranges) > 5 and sum(i is None for i, _ in ranges) >= 2
+    order = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    chain = [(r.doc_id, r.text) for r in sorted(order, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), -r.h, r.text))]
+    want = Counter((i, hashlib.sha256(sketches.edited(t, u).encode()).hexdigest()) for (i, t), (_, u) in zip(chain, chain[1:] + chain[:1], strict=True))
+    assert Counter((r.doc_id, r.edited_sha256) for r in sketches.compare_with_edits(docs).collect()) == want
+
+
 def test_sketches_merge(spark):
     parts = spark.createDataFrame([("g", " ".join(f"a{i}" for i in range(300))), ("g", " ".join(f"a{i}" for i in range(200, 500))), (None, "x"), ("h", None)], "k string, text string").repartition(3)
     merged = {r.k: r.fingerprint for r in sketches.merge_parts(sketches.fingerprint(parts), "k").collect()}
@@ -475,6 +506,10 @@ def test_mixing(spark, awkward, empty):
         assert share[n] / 2000 == pytest.approx(np.exp(-2.25) * 2.25**n / [1, 1, 2, 6][n], abs=0.035)
     assert all(r.copies == per_doc[r.doc_id] for r in rows if r.source == "a") and len({r.shuffle_key for r in rows}) == len(rows)
     assert mixing.mix(empty).count() == 0 and set(mixing.mix(awkward).columns) >= {"rate", "copy"}
+    nameless = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"), F.lit("a").alias("source"))
+    copies = mixing.mix(nameless)
+    share = Counter(r["n"] for r in copies.groupBy("shuffle_key").agg(F.count(F.lit(1)).alias("n")).collect())
+    assert set(share) == {1} and copies.count() == pytest.approx(4000, rel=0.08) and copies.where("copy = 2").count() == pytest.approx(4000 * (1 - 2 / np.e), rel=0.15)
     high = mixing.mix(df.limit(3), {"a": 1.0}).toPandas()
     assert (high.source == "a").all()
 

@@ -99,6 +99,20 @@ def prefix_sum(df: DataFrame, order: str, value: str, out: str, width: int = 409
     return joined.withColumn(out, F.coalesce(inside, F.lit(0)) + F.coalesce("_vx_ps_before", F.lit(0))).drop("_vx_ps_block", "_vx_ps_before")
 
 
+def numbered(df: DataFrame, key: str, out: str = "_vx_ordinal") -> DataFrame:
+    """Adds `out`: 0 for rows with a key; rows without one are counted by equal rows and numbered from 1, so that each has a number of its own.
+
+    Equal rows collapse before they are shuffled and are laid out again in steps of 10,000, so no task gets them all.
+    A table with a map column, by which rows cannot be grouped, gets 0 everywhere.
+    """
+    if any("map<" in kind for _, kind in df.dtypes):
+        return df.withColumn(out, F.lit(0).cast("long"))
+    alike = df.where(F.col(key).isNull()).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_vx_alike"))
+    steps = alike.withColumn("_vx_step", F.explode(F.expr("sequence(0L, (_vx_alike - 1) div 10000L)"))).repartition(F.hash("_vx_step", *df.columns))
+    rows = steps.withColumn(out, F.explode(F.expr("sequence(_vx_step * 10000L + 1L, least(_vx_alike, (_vx_step + 1) * 10000L))"))).drop("_vx_step", "_vx_alike")
+    return df.where(F.col(key).isNotNull()).withColumn(out, F.lit(0).cast("long")).unionByName(rows)
+
+
 def only_new(df: DataFrame, *names: str) -> DataFrame:
     """Drops input columns that an operator's own result columns would clash with."""
     taken = {n.lower() for n in names}

@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import only_new, small, table
+from voxloom.llm.common import numbered, only_new, small, table
 
 SEED = 20_231
 #: Target weights follow count ** TEMPERATURE when none are given.
 TEMPERATURE = 0.5
+#: Probabilities that count as one row when the table of distributions is tried for broadcast: 2,000,000 of them at most, 16 MB.
+ENTRIES = 10
 
 
 def _uniform(*parts: Column) -> Column:
@@ -53,14 +55,20 @@ def distributions(rate: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE, seed: int = SEED, source: str = "source", key: str = "doc_id") -> DataFrame:
     """The mixture: all columns of `docs` and rate double, copies long, copy long (from 1), shuffle_key string.
 
-    A null source is a source of its own; a null key draws as the empty string; repeated rows draw alike; text is not
-    looked at; an empty table gives an empty result.  Input columns named like the four new ones are replaced.
+    A null source is a source of its own.  Rows without a key draw by their number among equal rows and, told apart by
+    nothing but their other columns, by a hash of these; repeated rows with a key draw alike, as do ties.  Text of any
+    length is only carried, or hashed where there is no key; an empty table gives an empty result.  Input columns named
+    like the four new ones are replaced.
     """
-    docs = only_new(docs, "rate", "copies", "copy", "shuffle_key")
-    dist = distributions(rates(docs, weights, temperature, source))
-    dist = small(dist, docs.select(source).distinct().count())
-    ident = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    joined = docs.join(dist, docs[source].eqNullSafe(dist["_vx_source"]))
+    docs = only_new(docs, "rate", "copies", "copy", "shuffle_key", "_vx_ordinal")
+    rate = rates(docs, weights, temperature, source)
+    dist = distributions(rate)
+    entries = rate.agg(F.sum(F.col("rate") + 12 * F.sqrt("rate") + 31)).first()[0] or 0
+    dist = small(dist, int(entries) // ENTRIES)
+    rest = [F.coalesce(F.col(c).cast("string"), F.lit("")) if kind != "string" else F.coalesce(c, F.lit("")) for c, kind in docs.dtypes if c != key and kind in ("string", "bigint", "int", "double", "boolean", "date")]
+    ident = F.coalesce(F.col(key).cast("string"), F.concat_ws("/", F.lit("null"), F.md5(F.concat_ws("/", *rest)), F.col("_vx_ordinal").cast("string")))
+    numbered_docs = numbered(docs, key)
+    joined = numbered_docs.join(dist, numbered_docs[source].eqNullSafe(dist["_vx_source"]))
     draw = _uniform(F.lit(str(seed)), ident)
     counted = joined.withColumn("_vx_u", draw).withColumn("copies", F.size(F.filter("_vx_cdf", lambda c: c < F.col("_vx_u"))).cast("long"))
     copies = counted.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
@@ -81,11 +89,12 @@ k AS (SELECT source, rate, unnest(range(0, floor(rate + 12 * sqrt(rate) + 30)::B
 f AS (SELECT source, rate, k, sum(ln(greatest(k, 1)::DOUBLE)) OVER (PARTITION BY source ORDER BY k) AS lf FROM k),
 c AS (SELECT source, rate, k, sum(exp(k * ln(rate) - rate - lf)) OVER (PARTITION BY source ORDER BY k) AS cdf FROM f),
 a AS (SELECT source, rate, list(cdf ORDER BY k) AS cdf FROM c GROUP BY source, rate),
-u AS (SELECT d.*, a.rate, a.cdf, (('0x' || substr(md5('{SEED}|' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::UBIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
-      FROM documents d JOIN a ON d.source IS NOT DISTINCT FROM a.source),
+i AS (SELECT *, coalesce(doc_id::VARCHAR, 'null/' || md5(coalesce(text, '') || '/' || coalesce(lang, '') || '/' || coalesce(source, '') || '/' || coalesce(n_chars::VARCHAR, '')) || '/' || row_number() OVER (PARTITION BY doc_id, text, lang, source, n_chars)) AS ident FROM documents),
+u AS (SELECT d.*, a.rate, a.cdf, (('0x' || substr(md5('{SEED}|' || ident), 1, 13))::UBIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+      FROM i d JOIN a ON d.source IS NOT DISTINCT FROM a.source),
 m AS (SELECT *, len(list_filter(cdf, lambda c: c < u))::BIGINT AS copies FROM u),
 e AS (SELECT *, unnest(range(1, copies + 1)) AS copy FROM m)
 SELECT doc_id, text, lang, source, n_chars, round(rate, 9) AS rate, copies, copy,
-       md5('{SEED}|' || coalesce(doc_id::VARCHAR, '') || '|' || copy::VARCHAR) AS shuffle_key
+       md5('{SEED}|' || ident || '|' || copy::VARCHAR) AS shuffle_key
 FROM e
 """

@@ -21,6 +21,8 @@ from voxloom.llm.common import grown, only_new, shingle_sets, slices, table, tex
 K = 128
 WIDTH = 5
 RANGE_BYTES = 24 << 20
+#: Ranges at most: what of them reaches the driver.
+MOST_RANGES = 10_000
 _BITS = 48
 
 
@@ -120,35 +122,44 @@ def edited(text: str, following: str) -> str:
 
 
 def in_descending_order(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Rows dealt into ranges of descending doc_id and sorted in them, each range closed by a copy (ghost 1) of the row that opens the next one, the last by the very first.
+    """Rows dealt into ranges of descending doc_id (ties by descending hash of the text) and sorted in them, each range closed by a copy (ghost 1) of the row that opens the next one, the last by the very first.
 
-    Only range bounds and the first id of each range reach the driver.  Columns: _vx_range, _vx_ghost, doc_id, text.
+    Only range bounds and the first row's id and hash of each range reach the driver, of MOST_RANGES ranges at most; a
+    range beyond that is larger, sorted with spill and read as a stream.  An id that fills ranges of its own (or null
+    ids) is split among them by the hash.  Columns: _vx_range, _vx_ghost, doc_id, text.
     """
     low = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     sized = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sized // range_bytes))
+    n = min(MOST_RANGES, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sized // range_bytes)))
     steps = [float(i) / n for i in range(1, n)]
     bounds = docs.agg(F.percentile_approx(low, steps, max(10_000, 10 * n))).first()[0] if steps else []
-    cuts = np.array(sorted(set(bounds or [])), np.int64)
+    cuts = np.array(sorted(bounds or []), np.int64)
     last = len(cuts)
 
+    def cells(ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Range of each row; an id that is a bound m times has m - 1 ranges to itself, dealt by the upper bits of the hash."""
+        left, right = np.searchsorted(cuts, ids, side="left"), np.searchsorted(cuts, ids, side="right")
+        own = np.maximum(right - left - 1, 0)
+        upper = (hashes >> 32) + (1 << 31)
+        return last - np.where(own > 0, left + 1 + ((upper * own) >> 32), left)
+
     @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(last - np.searchsorted(cuts, ids.to_numpy(np.int64), side="left")).astype("int32")
+    def range_of(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(cells(ids.to_numpy(np.int64), hashes.to_numpy(np.int64))).astype("int32")
 
-    ranged = docs.select("doc_id", "text", low.alias("_vx_id")).withColumn("_vx_range", range_of("_vx_id"))
-    firsts = sorted((r[0], r[1]) for r in ranged.groupBy("_vx_range").agg(F.max("_vx_id")).collect())
+    named = docs.select("doc_id", "text", low.alias("_vx_id"), F.xxhash64("text").alias("_vx_hash"))
+    ranged = named.withColumn("_vx_range", range_of("_vx_id", "_vx_hash"))
+    firsts = sorted((r[0], tuple(r[1])) for r in ranged.groupBy("_vx_range").agg(F.max(F.struct("_vx_id", "_vx_hash"))).collect())
     opens = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}
 
     @F.pandas_udf("array<int>")
-    def places(ids: pd.Series) -> pd.Series:
-        values = ids.to_numpy(np.int64)
-        own = last - np.searchsorted(cuts, values, side="left")
-        return pd.Series([[o, opens[v]] if v in opens else [o] for o, v in zip(own.tolist(), values.tolist(), strict=True)])
+    def places(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        a, b = ids.to_numpy(np.int64), hashes.to_numpy(np.int64)
+        return pd.Series([[o, opens[v, h]] if (v, h) in opens else [o] for o, v, h in zip(cells(a, b).tolist(), a.tolist(), b.tolist(), strict=True)])
 
-    dealt = docs.select("doc_id", "text", low.alias("_vx_id")).withColumn("_vx_places", places("_vx_id"))
-    exploded = dealt.select("doc_id", "text", "_vx_id", F.posexplode("_vx_places").alias("_vx_ghost", "_vx_range"))
-    return exploded.repartition(n, "_vx_range").sortWithinPartitions("_vx_range", "_vx_ghost", F.desc("_vx_id"), "text").select("_vx_range", "_vx_ghost", "doc_id", "text")
+    dealt = named.withColumn("_vx_places", places("_vx_id", "_vx_hash"))
+    exploded = dealt.select("doc_id", "text", "_vx_id", "_vx_hash", F.posexplode("_vx_places").alias("_vx_ghost", "_vx_range"))
+    return exploded.repartition(n, "_vx_range").sortWithinPartitions("_vx_range", "_vx_ghost", F.desc("_vx_id"), F.desc("_vx_hash"), "text").select("_vx_range", "_vx_ghost", "doc_id", "text")
 
 
 RESULT = pa.schema(
@@ -159,7 +170,7 @@ RESULT = pa.schema(
 def compare_with_edits(docs: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
     """For each row its fingerprint, that of its edited text (see `edited`; the following row in descending doc_id) and their likeness.
 
-    A null text is empty; null doc_ids come last; tied doc_ids go by text; a single row follows itself; an empty table
+    A null text is empty; null doc_ids come last; tied doc_ids go by the hash of their text, then by it; a single row follows itself; an empty table
     gives an empty result; other columns are ignored.
     """
 
