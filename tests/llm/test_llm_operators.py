@@ -373,6 +373,40 @@ def test_secrets(spark, sf):
     assert secrets.scan(pa.array([plain]), net) == [[]]
 
 
+def test_secrets_by_kind_in_real_texts(spark, sf):
+    """Tokens of each kind set between the words of real documents, and the documents without them."""
+    net = secrets.trained()
+    assert min(net.recalls.values()) >= 0.9 and len(net.thresholds) == 3
+    rng = np.random.default_rng(21)
+    mixed = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    some = lambda n: "".join(rng.choice(mixed, n))
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").where("length(text) between 200 and 4000").limit(60).collect()]
+    assert np.mean([any(s[0] == "model" for s in spans) for spans in secrets.scan(pa.array(texts), net)]) <= 0.02
+    kinds = {
+        "github": lambda: f"ghp_{some(36)}",
+        "gitlab": lambda: f"glpat-{some(20)}",
+        "stripe": lambda: f"sk_live_{some(24)}",
+        "jwt": lambda: f"eyJ{some(30)}.{some(40)}.{some(43)}",
+        "bearer": lambda: f"Authorization: Bearer {some(32)}",
+        "database": lambda: f"postgres://app:{some(16)}@db.internal:5432/main",
+    }
+    for kind, make in kinds.items():
+        rows = []
+        for t in texts:
+            words_ = t.split(" ")
+            at = int(rng.integers(1, len(words_)))
+            rows.append(" ".join([*words_[:at], make(), *words_[at:]]))
+        clean = [len(x) for x in secrets.scan(pa.array(texts), net)]
+        found = [len(x) > n for x, n in zip(secrets.scan(pa.array(rows), net), clean, strict=True)]
+        assert np.mean(found) >= 0.85, (kind, np.mean(found))
+
+
+def test_many_base_spans_in_one_text():
+    text = " ".join(f"token = {i:016x} x{i}" for i in range(20_000))
+    spans = secrets.scan(pa.array([text]), secrets.trained())[0]
+    assert sum(s[0] == "assign" for s in spans) == 20_000 and [s[:3] for s in spans if s[0] != "model"] == base_spans(text)
+
+
 def test_secrets_without_a_digit():
     net = secrets.trained()
     rng = np.random.default_rng(4)

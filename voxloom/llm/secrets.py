@@ -2,9 +2,9 @@
 
 Candidates are the base matches and all longest runs of [A-Za-z0-9+/_.=-] of twelve characters or more, with a digit or without.
 The network (numpy only) reads a window of the candidate and of what stands around it.  A candidate longer than the
-window is read whole, by overlapping windows and by its parts between separators; the best score counts.  It is trained here on labelled
-findings written by a seeded generator; its scores are calibrated on held-out findings and the threshold is the highest
-one that keeps the recall wanted there.
+window is read whole, by overlapping windows and by its parts between separators; one that passes is enough.  It is
+trained here on labelled findings written by a seeded generator; its scores are calibrated on findings held out from
+that, and each shape of candidate has the highest threshold that keeps the recall wanted there, over all and by kind.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import hashlib
 import random
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,9 @@ LEAST = {"assign": 12, "access": 18, "hex": 16, "model": 12}
 LEFT, BODY, RIGHT = 24, 40, 8
 WIDTH, FILTERS, HIDDEN = 4, 24, 24
 RECALL = 0.97
-FINDINGS = 40000
+#: Recall kept in each kind of secret that has at least so many calibration findings.
+KIND_RECALL, KIND_LEAST = 0.95, 20
+FINDINGS = 45000
 SEED = 17
 
 _BODY = np.zeros(256, bool)
@@ -43,8 +45,11 @@ _LOWER[65:91] += 32
 REPLACEMENT = "<secret>"
 
 
-def findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, int]]:
-    """Labelled findings (left context, candidate, right context, secret or not)."""
+Finding = tuple[str, str, str, int, str]
+
+
+def findings(n: int = FINDINGS, seed: int = SEED) -> list[Finding]:
+    """Labelled findings (left context, candidate, right context, secret or not, kind of secret)."""
     rng = random.Random(seed)
     hexes, digits, letters, capitals = "0123456789abcdef", "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     mixed = letters + capitals + digits
@@ -63,31 +68,39 @@ def findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, i
     def prose(k: int) -> str:
         return " ".join(rng.choice((word(), word().capitalize(), word() + rng.choice(".,"))) for _ in range(k))
 
-    def secret() -> tuple[str, str, str]:
+    def secret() -> tuple[str, str, str, str]:
         key = rng.choice(("key", "secret", "token", "password", "passwd", "pwd", "auth", "api_key", "apikey", "access_key", "client_secret", "credential", "private_key", "Authorization: Bearer", "bearer"))
         key = rng.choice((key, key.upper(), key.capitalize()))
         quote = rng.choice(("", '"', "'"))
-        value = rng.choice(
+        kind, make = rng.choice(
             (
-                lambda: some(hexes, 32, 64),
-                lambda: some(hexes, 40),
-                lambda: digited(mixed, 16, 48),
-                lambda: digited(mixed + "+/", 24, 60) + "=" * rng.randint(0, 2),
-                lambda: "AKIA" + digited(capitals + digits, 16, 16),
-                lambda: rng.choice(("ghp_", "gho_", "ghs_")) + digited(mixed, 36, 36),
-                lambda: rng.choice(("sk_live_", "pk_live_", "sk-", "rk_")) + digited(mixed, 24, 48),
-                lambda: "xoxb-" + some(digits, 11) + "-" + some(mixed, 24),
-                lambda: "eyJ" + digited(mixed + "-_", 20, 40) + "." + some(mixed, 20, 40) + "." + some(mixed + "-_", 20, 43),
-                lambda: digited(mixed + "_-.", 12, 20),
-                *[lambda: some(letters + capitals, 12, 40)] * 3,
-                lambda: some(letters, 14, 32),
-                lambda: rng.choice(("ghp_", "sk_live_", "sk-")) + some(letters + capitals, 24, 36),
+                ("hex", lambda: some(hexes, 32, 64)),
+                ("hex", lambda: some(hexes, 40)),
+                ("mixed", lambda: digited(mixed, 16, 48)),
+                ("base64", lambda: digited(mixed + "+/", 24, 60) + "=" * rng.randint(0, 2)),
+                ("access key", lambda: "AKIA" + digited(capitals + digits, 16, 16)),
+                ("github", lambda: rng.choice(("ghp_", "gho_", "ghs_")) + digited(mixed, 36, 36)),
+                ("stripe", lambda: rng.choice(("sk_live_", "pk_live_", "sk-", "rk_")) + digited(mixed, 24, 48)),
+                ("slack", lambda: "xoxb-" + some(digits, 11) + "-" + some(mixed, 24)),
+                ("gitlab", lambda: rng.choice(("glpat-", "gldt-", "glrt-")) + digited(mixed + "_-", 20, 20)),
+                ("google", lambda: "AIza" + digited(mixed + "_-", 35, 35)),
+                ("npm", lambda: rng.choice(("npm_", "pypi-", "hf_", "dop_v1_")) + digited(mixed, 34, 40)),
+                ("jwt", lambda: "eyJ" + digited(mixed + "-_", 20, 40) + "." + some(mixed, 20, 40) + "." + some(mixed + "-_", 20, 43)),
+                ("short", lambda: digited(mixed + "_-.", 12, 20)),
+                *[("url password", lambda: digited(mixed + "_-.", 12, 28))] * 2,
+                ("url password", lambda: some(letters + capitals, 12, 24)),
+                *[("letters", lambda: some(letters + capitals, 12, 40))] * 3,
+                ("letters", lambda: some(letters, 14, 32)),
+                ("letters", lambda: rng.choice(("ghp_", "sk_live_", "sk-")) + some(letters + capitals, 24, 36)),
             )
-        )()
-        bare = value[:4] in ("AKIA", "ghp_", "gho_", "ghs_", "xoxb", "sk_l", "pk_l") or value.startswith("eyJ")
-        if bare and rng.random() < 0.6 or len(set(value)) > 18 and len(value) > 30 and rng.random() < 0.2:
-            return prose(4) + " ", value, " " + prose(2)
-        return rng.choice((prose(2) + " ", word() + " ", prose(1) + "\n")) + key + rng.choice((" = ", "=", ": ", ":", " ")) + quote, value, quote + rng.choice((" ", "\n", ";")) + prose(2)
+        )
+        value = make()
+        if kind == "url password":
+            scheme = rng.choice(("postgres", "postgresql", "mysql", "mongodb", "mongodb+srv", "redis", "amqp", "https", "ftp", "jdbc:mysql"))
+            return rng.choice((prose(2) + " ", prose(1) + "=", "url: ", "\n")) + f"{scheme}://{rng.choice((word(), 'admin', 'root', 'user', 'app', ''))}:", value, f"@{word()}{rng.choice(('.example.com', '.internal', '', '-db'))}{rng.choice((':5432', ':3306', ''))}/{word()}", kind
+        if kind in ("access key", "github", "stripe", "slack", "gitlab", "google", "npm", "jwt") and rng.random() < 0.6 or len(set(value)) > 18 and len(value) > 30 and rng.random() < 0.2:
+            return prose(4) + " ", value, " " + prose(2), kind
+        return rng.choice((prose(2) + " ", word() + " ", prose(1) + "\n")) + key + rng.choice((" = ", "=", ": ", ":", " ")) + quote, value, quote + rng.choice((" ", "\n", ";")) + prose(2), kind
 
     def spoken(low: int, high: int) -> str:
         """A pronounceable word, as long words of prose are."""
@@ -110,7 +123,7 @@ def findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, i
             )
         )()
 
-    def harmless() -> tuple[str, str, str]:
+    def harmless() -> tuple[str, str, str, str]:
         value = digitless() if rng.random() < 0.4 else rng.choice(
             (
                 lambda: some(digits, 16),
@@ -135,15 +148,15 @@ def findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, i
         )()
         if len(value) < 12:
             value += some(digits, 12 - len(value)) if any(c in digits for c in value) else spoken(12, 12)[: 12 - len(value)]
-        left = rng.choice((prose(4) + " ", prose(4) + " ", prose(4).upper() + " ", spoken(4, 9) + " " + spoken(2, 12) + " ", prose(3) + ": ", "https://", prose(2) + "@", prose(3) + "\n", prose(2) + " (", prose(1) + "="))
-        return left, value, rng.choice((" ", ".\n", ", ", ")")) + prose(3)
+        left = rng.choice((prose(4) + " ", prose(4) + " ", prose(4).upper() + " ", spoken(4, 9) + " " + spoken(2, 12) + " ", prose(3) + ": ", "https://", prose(2) + "@", prose(3) + "\n", prose(3) + ".\n", prose(3) + ".\n\n", prose(3).upper() + rng.choice(("! ", "!! ", "!!! ", "!!\n")), prose(2) + " (", prose(1) + "="))
+        return left, value, rng.choice((" ", " ", ".\n", ", ", ")", "!! ", "!\n", "? ")) + rng.choice((prose(3), prose(3).upper())), ""
 
-    def at_an_edge(left: str, value: str, right: str) -> tuple[str, str, str]:
+    def at_an_edge(left: str, value: str, right: str, kind: str) -> tuple[str, str, str, str]:
         """Some findings stand near the start or the end of their text."""
         draw = rng.random()
         if 0.15 < draw < 0.2 and left[-1:] in " \n":
-            return "", value, ""
-        return (left[-rng.randint(0, 6) :] if draw < 0.15 and len(left) > 6 and left[-1] in " \n" else left), value, ("" if draw > 0.9 and right[:1] not in ("'", '"') else right)
+            return "", value, "", kind
+        return (left[-rng.randint(0, 6) :] if draw < 0.15 and len(left) > 6 and left[-1] in " \n" else left), value, ("" if draw > 0.9 and right[:1] not in ("'", '"', "@") else right), kind
 
     def inside(label: bool) -> tuple[str, str, str]:
         """A window or a part of a longer candidate: the context belongs to it too."""
@@ -161,16 +174,23 @@ def findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, i
             end = min(len(whole), at + BODY)
         return whole[:at], whole[at:end], whole[end:]
 
-    def nested(label: bool) -> tuple[str, str, str]:
+    def nested(label: bool) -> tuple[str, str, str, str]:
         left, value, right = inside(label)
-        return prose(2) + " " + left, value, right + " " + prose(1)
+        return prose(2) + " " + left, value, right + " " + prose(1), "nested" if label else ""
 
-    def drawn(label: bool) -> tuple[str, str, str]:
+    def drawn(label: bool) -> tuple[str, str, str, str]:
         if rng.random() < 0.15:
             return nested(label)
         return at_an_edge(*(secret() if label else harmless()))
 
-    return [(*drawn(label), label) for label in (rng.random() < 0.5 for _ in range(n))]
+    return [(*found[:3], label, found[3]) for label, found in ((label, drawn(label)) for label in (rng.random() < 0.5 for _ in range(n)))]
+
+
+def shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """What a candidate is made of: 0 no digit, 1 hexadecimal digits only, 2 anything else."""
+    digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
+    hexes = np.concatenate([[0], np.cumsum(_HEX[data])])
+    return np.where(digits[ends] == digits[starts], 0, np.where(hexes[ends] - hexes[starts] == ends - starts, 1, 2))
 
 
 def windows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -201,9 +221,11 @@ class Network:
     out_bias: np.ndarray
     scale: float = 1.0
     shift: float = 0.0
-    threshold: float = 0.5
+    #: By shape; the figures are those of findings that neither training nor thresholds have seen.
+    thresholds: np.ndarray = field(default_factory=lambda: np.full(3, 0.5))
     recall: float = 0.0
     precision: float = 0.0
+    recalls: dict[str, float] = field(default_factory=dict)
 
     PARTS = ((0, LEFT - WIDTH + 1), (LEFT - 2, LEFT + BODY - WIDTH + 1), (LEFT + BODY - 2, LEFT + BODY + RIGHT - WIDTH + 1))
 
@@ -229,20 +251,26 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.scale * np.concatenate([*logits, np.zeros(0)]) + self.shift, -50, 50)))
 
 
-def _codes(rows: list[tuple[str, str, str, int]]) -> np.ndarray:
-    buffers = [(a + b + c).encode() for a, b, c, _ in rows]
+def _codes(rows: list[Finding]) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, shapes) of findings."""
+    buffers = [(a + b + c).encode() for a, b, c, *_ in rows]
     data = np.frombuffer(b"".join(buffers), np.uint8)
     low = np.cumsum([0, *map(len, buffers)])
     starts = low[:-1] + [len(a.encode()) for a, *_ in rows]
-    return windows(data, starts, starts + [len(b.encode()) for _, b, *_ in rows], low[:-1], low[1:])
+    ends = starts + [len(b.encode()) for _, b, *_ in rows]
+    return windows(data, starts, ends, low[:-1], low[1:]), shapes(data, starts, ends)
 
 
 @functools.lru_cache(maxsize=4)
 def trained(n: int = FINDINGS, recall: float = RECALL, seed: int = SEED, epochs: int = 9) -> Network:
-    """The network fitted on three quarters of the findings by Adam; calibration (Platt) and threshold from the last quarter."""
+    """The network fitted on two thirds of the findings by Adam; calibration (Platt) and thresholds from one sixth, recall and precision from the last.
+
+    Each shape has the highest threshold that keeps `recall` among its secrets and KIND_RECALL among those of each kind.
+    """
     rows = findings(n, seed)
-    codes, y = _codes(rows), np.array([r[3] for r in rows], float)
-    cut = n * 3 // 4
+    (codes, shape), y = _codes(rows), np.array([r[3] for r in rows], float)
+    kinds = np.array([r[4] for r in rows])
+    cut, end = n * 4 // 6, n * 5 // 6
     rng = np.random.default_rng(seed)
     inputs = 3 * FILTERS + 3
     net = Network(
@@ -267,22 +295,23 @@ def trained(n: int = FINDINGS, recall: float = RECALL, seed: int = SEED, epochs:
                 m += 0.1 * (grad - m)
                 v += 0.01 * (grad * grad - v)
                 p -= 0.004 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    logit = np.concatenate([net.layers(codes[i : i + 512])[-1] for i in range(cut, n, 512)])
-    truth = y[cut:]
+    logit = np.concatenate([net.layers(codes[i : min(end, i + 512)])[-1] for i in range(cut, end, 512)])
+    truth = y[cut:end]
     for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(net.scale * logit + net.shift, -50, 50)))
         net.scale -= 0.05 * float(((p - truth) * logit).mean())
         net.shift -= 0.2 * float((p - truth).mean())
-    p = net.scores(codes[cut:])
-    positives = np.sort(p[truth == 1])
-    net.threshold = float(positives[int((1 - recall) * len(positives))]) if len(positives) else 1.0
-    # secrets without a digit are a minority: the recall holds among them as well
-    bare = np.array([not any(c.isdigit() for c in r[1]) for r in rows[cut:]], bool)
-    own = np.sort(p[(truth == 1) & bare])
-    if len(own):
-        net.threshold = min(net.threshold, float(own[int((1 - recall) * len(own))]))
-    found = p >= net.threshold
-    net.recall, net.precision = float((found & (truth == 1)).sum() / max(1, (truth == 1).sum())), float((found & (truth == 1)).sum() / max(1, found.sum()))
+    p = net.scores(codes[cut:end])
+    net.thresholds = np.ones(3)
+    for own_shape in range(3):
+        secret = (truth == 1) & (shape[cut:end] == own_shape)
+        for kind, least in [("", recall), *((k, KIND_RECALL) for k in sorted(set(kinds[cut:end][secret])))]:
+            own = np.sort(p[secret & (kinds[cut:end] == kind)] if kind else p[secret])
+            if len(own) >= (KIND_LEAST if kind else 1):
+                net.thresholds[own_shape] = min(net.thresholds[own_shape], float(own[int((1 - least) * len(own))]))
+    truth, found = y[end:] == 1, net.scores(codes[end:]) >= net.thresholds[shape[end:]]
+    net.recall, net.precision = float((found & truth).sum() / max(1, truth.sum())), float((found & truth).sum() / max(1, found.sum()))
+    net.recalls = {k: float(found[truth & (kinds[end:] == k)].mean()) for k in sorted(set(kinds[end:][truth]))}
     return net
 
 
@@ -361,18 +390,23 @@ def scan(column: pa.Array, net: Network) -> list[list[Span]]:
     # a base match of kind assign is judged by its value
     begin = np.array([s + ASSIGN.match(raw[s:e].decode("ascii")).start(2) if kind == "assign" else s for _, kind, s, e in every])
     own, low_end, high_end = units(data, begin, end)
-    score = np.zeros(len(every))
+    score, passed = np.zeros(len(every)), np.zeros(len(every), bool)
+    shape = shapes(data, low_end, high_end)
     step = 1 << 14
     for i in range(0, len(own), step):
         some = slice(i, i + step)
-        np.maximum.at(score, own[some], net.scores(windows(data, low_end[some], high_end[some], offsets[doc[own[some]]], offsets[doc[own[some]] + 1])))
-    taken: dict[int, list[tuple[int, int]]] = {}
-    for (d, kind, s, e), p in zip(every, score.tolist(), strict=True):
-        if kind == "model":
-            if p < net.threshold or any(s < f and b < e for b, f in taken.get(d, ())):
-                continue
-        else:
-            taken.setdefault(d, []).append((s, e))
+        p = net.scores(windows(data, low_end[some], high_end[some], offsets[doc[own[some]]], offsets[doc[own[some]] + 1]))
+        np.maximum.at(score, own[some], p)
+        np.logical_or.at(passed, own[some], p >= net.thresholds[shape[some]])
+    # offsets are of the one buffer of all texts, so the base spans of all texts are one list: by start, with the furthest end so far
+    taken = np.array(sorted((s, e) for _, _, s, e in base), np.int64).reshape(-1, 2)
+    reach = np.maximum.accumulate(taken[:, 1]) if len(taken) else taken[:, 1]
+    before = np.searchsorted(taken[:, 0], end, side="left")
+    apart = np.ones(len(every), bool)
+    apart[before > 0] = reach[before[before > 0] - 1] <= start[before > 0]
+    for (d, kind, s, e), p, good in zip(every, score.tolist(), (passed & apart).tolist(), strict=True):
+        if kind == "model" and not good:
+            continue
         out[d].append((kind, int(points[s] - points[offsets[d]]), int(points[e] - points[offsets[d]]), p))
     for spans in out:
         spans.sort(key=lambda x: (x[1], KINDS.index(x[0])))
@@ -384,7 +418,7 @@ _SPANS_SQL = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
 def find_secrets(docs: DataFrame, text: str = "text", net: Network | None = None) -> DataFrame:
-    """All columns and secrets array<struct<kind, start, end, score>> (code points, end exclusive).  A null or empty text has none; a column named secrets is replaced."""
+    """All columns and secrets array<struct<kind, start, end, score>> (code points, end exclusive).  A null or empty text has none; a column named secrets is replaced.  Works row by row: repeated rows get the same spans, an empty table stays empty, a very long text is read whole, alone in its slice.  Spans that start together go by kind."""
     docs = only_new(docs, "secrets")
     sent = docs.sparkSession.sparkContext.broadcast(net or trained())
 
@@ -408,7 +442,7 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def redact(docs: DataFrame, text: str = "text", size: str = "n_chars", net: Network | None = None) -> DataFrame:
-    """The same columns with all secrets masked in the text, and `size`, if there, counted anew for the texts that change."""
+    """The same columns with all secrets masked in the text, and `size`, if there, counted anew for the texts that change.  A null text stays null; repeated rows change alike, an empty table stays empty, very long texts are masked whole; other columns stay as they are."""
     sent = docs.sparkSession.sparkContext.broadcast(net or trained())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
