@@ -14,7 +14,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from voxloom.llm import chat, flac, html_text, language, mixing, packing, partenum, secrets, sharding, sketches, stages
+from voxloom.llm import chat, common, flac, html_text, language, mixing, packing, partenum, secrets, sharding, sketches, stages
 from voxloom.llm.common import shingle_sets, slices, text_bytes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rate string, rank string, shard string"
@@ -44,7 +44,7 @@ def shingles(text, n):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
 
 
-def test_shingle_sets_match_brute_force():
+def test_shingle_sets_match_brute_force(monkeypatch):
     rng = np.random.default_rng(0)
     texts = [" ".join(rng.choice(list("abcAB") + ["é", "x\ty"], int(n))) for n in rng.integers(0, 30, 200)] + ["", None, "  "]
     sets = shingle_sets(*text_bytes(pa.array(texts, pa.string())), 3)
@@ -52,6 +52,9 @@ def test_shingle_sets_match_brute_force():
     assert [len(s) for s in sets] == [len(s) for s in want]
     for (a, x), (b, y) in itertools.combinations(list(zip(sets, want, strict=True))[::5], 2):
         assert len(np.intersect1d(a, b)) == len(x & y)
+    for size in (1, 2, 7, 40):  # worked off in parts, a word longer than a part included
+        monkeypatch.setattr(common, "HASHED_BYTES", size)
+        assert all((a == b).all() for a, b in zip(sets, shingle_sets(*text_bytes(pa.array(texts, pa.string())), 3), strict=True))
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"])
     assert sum(s.num_rows for s in slices(batch, "t", 50)) == len(texts)
 

@@ -168,6 +168,8 @@ def _tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
+#: Bytes whose words are hashed at once, some 50 bytes of arrays each; a longer text is worked off in parts.
+HASHED_BYTES = 4 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -176,8 +178,28 @@ _LOWER[65:91] += 32
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words [^\\x20\\x09-\\x0D]+ of each text, A-Z lower-cased, and the word offsets of each text."""
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    hashes, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    at = 0
+    while at < len(data):
+        to = min(len(data), at + HASHED_BYTES)
+        if to < len(data):  # cut after a space or at the end of a text, further on where there is none
+            spaces = np.flatnonzero(_SPACE[data[at:to]])
+            ends = offsets[np.searchsorted(offsets, at, side="right") : np.searchsorted(offsets, to, side="right")]
+            to = max(at + int(spaces[-1]) + 1 if len(spaces) else at, int(ends[-1]) if len(ends) else at)
+            while to == at or (to < len(data) and not _SPACE[data[to - 1]] and offsets[np.searchsorted(offsets, to)] != to):
+                far = min(len(data), max(to, at + HASHED_BYTES) + HASHED_BYTES)
+                spaces = np.flatnonzero(_SPACE[data[max(to, at) : far]])
+                to = max(to, at) + int(spaces[0]) + 1 if len(spaces) else far
+        part, begins = _hashed(data[at:to], np.clip(offsets - at, 0, to - at))
+        hashes.append(part)
+        starts.append(begins + at)
+        at = to
+    begins = np.concatenate(starts)
+    return np.concatenate(hashes), np.searchsorted(begins, offsets).astype(np.int64)
+
+
+def _hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first bytes of the words of a part of the texts."""
     low = _LOWER[data]
     word = ~_SPACE[low]
     cut = np.zeros(len(data) + 1, bool)
@@ -192,7 +214,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     sums[0] = 0
     np.cumsum(_BYTES[low] * power[: len(data)], out=sums[1:])
     hashes = mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets).astype(np.int64)
+    return hashes, starts
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from voxloom.llm.common import grown, only_new, slices, table
 
 BLOCK = 1024
+#: Samples in a PCM block.
+PCM_SAMPLES = 4096
 RATE = 8000
 #: Frames that are worked on at once.
 LANES = 1024
@@ -425,12 +427,48 @@ def padded(text: bytes) -> bytes:
     return text + bytes(max(UNIT, -(-len(text) // UNIT) * UNIT) - len(text))
 
 
-def features(payload: bytes) -> str:
-    """Level, peak, offset, zero crossings and mean step of the samples."""
-    x = np.frombuffer(payload, np.uint8).astype(np.int64) - 128
-    crossings = int(np.count_nonzero((x[1:] < 0) != (x[:-1] < 0)))
-    step = int(np.abs(np.diff(x)).sum())
-    return f"rms={np.sqrt(int((x * x).sum()) / len(x)):.6f};peak={int(np.abs(x).max())};mean={int(x.sum()) / len(x):.6f};zcr={crossings / len(x):.6f};step={step / len(x):.6f}"
+def blocks_of(streams: list[bytes], samples: int) -> Iterator[list[tuple[int, bytes]]]:
+    """For each stream its PCM blocks (sample offset, signed 8-bit samples), so that sample s is in block s div `samples`."""
+    for payload in decode(streams):
+        pcm = np.frombuffer(payload, np.uint8) ^ 0x80
+        yield [(i, pcm[i : i + samples].tobytes()) for i in range(0, len(pcm), samples)]
+
+
+class Summary:
+    """Digests and features of a payload, gathered from its PCM blocks in order."""
+
+    def __init__(self, blocks: list[tuple[int, bytes]]):
+        self.count = self.total = self.squares = self.peak = self.crossings = self.steps = 0
+        self._sha, self._tail, self._last = hashlib.sha256(), b"", None
+        for offset, pcm in blocks:
+            if offset != self.count:
+                raise Corrupt("a PCM block is out of its place")
+            self._add(pcm)
+
+    def _add(self, pcm: bytes) -> None:
+        x = np.frombuffer(pcm, np.int8).astype(np.int64)
+        payload = (np.frombuffer(pcm, np.uint8) ^ 0x80).tobytes()
+        self._sha.update(payload)
+        self._tail = (self._tail + payload)[-UNIT:]
+        self.count, self.total, self.squares, self.peak = self.count + len(x), self.total + int(x.sum()), self.squares + int((x * x).sum()), max(self.peak, int(np.abs(x).max(initial=0)))
+        y = x if self._last is None else np.concatenate([[self._last], x])
+        self.crossings += int(np.count_nonzero((y[1:] < 0) != (y[:-1] < 0)))
+        self.steps += int(np.abs(np.diff(y)).sum())
+        self._last = int(x[-1])
+
+    @property
+    def sha256(self) -> str:
+        return self._sha.hexdigest()
+
+    @property
+    def tail_crc32(self) -> int:
+        return zlib.crc32(self._tail)
+
+    @property
+    def feature(self) -> str:
+        """Level, peak, offset, zero crossings and mean step of the samples."""
+        n = self.count
+        return f"rms={np.sqrt(self.squares / n):.6f};peak={self.peak};mean={self.total / n:.6f};zcr={self.crossings / n:.6f};step={self.steps / n:.6f}"
 
 
 def _texts(batch: pa.RecordBatch, text: str) -> list[bytes]:
@@ -440,7 +478,8 @@ def _texts(batch: pa.RecordBatch, text: str) -> list[bytes]:
 def encode_column(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns, n_bytes long and media binary: each text's UTF-8 bytes, padded by zeros to a positive multiple of 64, as a FLAC stream.
 
-    A null text is empty (64 zeros); columns named n_bytes or media are replaced.
+    A null text is empty (64 zeros); columns named n_bytes or media are replaced.  Works row by row: repeated rows give
+    equal streams, an empty table stays empty, a very long text is one stream, alone in its slice.
     """
     docs = only_new(docs, "n_bytes", "media")
 
@@ -454,7 +493,7 @@ def encode_column(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.mapInArrow(run, grown(docs, n_bytes="long", media="binary"))
 
 
-def pcm_blocks(media: DataFrame, key: str = "doc_id", column: str = "media", samples: int = 4096) -> DataFrame:
+def pcm_blocks(media: DataFrame, key: str = "doc_id", column: str = "media", samples: int = PCM_SAMPLES) -> DataFrame:
     """PCM blocks of decoded streams: key, block int, sample_offset long, pcm binary (signed 8-bit), so that sample s is found in block s div `samples`.  Null media give no block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -462,9 +501,9 @@ def pcm_blocks(media: DataFrame, key: str = "doc_id", column: str = "media", sam
             for batch in slices(whole, column):
                 rows = [(k, m) for k, m in zip(batch.column(key).to_pylist(), batch.column(column).to_pylist(), strict=True) if m is not None]
                 out = [
-                    (k, i // samples, i, (np.frombuffer(p[i : i + samples], np.uint8) ^ 0x80).tobytes())
-                    for (k, _), p in zip(rows, decode([m for _, m in rows]), strict=True)
-                    for i in range(0, len(p), samples)
+                    (k, offset // samples, offset, pcm)
+                    for (k, _), blocks in zip(rows, blocks_of([m for _, m in rows], samples), strict=True)
+                    for offset, pcm in blocks
                 ]
                 columns = list(zip(*out, strict=True)) or [()] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (batch.schema.field(key).type, pa.int32(), pa.int64(), pa.binary()), strict=True)], [key, "block", "sample_offset", "pcm"])
@@ -478,22 +517,22 @@ RESULT = pa.schema(
 
 
 def read_back(media: DataFrame) -> DataFrame:
-    """Digests of the payloads that are decoded from column media, beside doc_id and n_bytes."""
+    """Digests and features of the PCM blocks that are decoded from column media, beside doc_id and n_bytes; the media must not be null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "media"):
                 stored = batch.column("media").to_pylist()
-                payloads = decode(stored)
+                found = [Summary(blocks) for blocks in blocks_of(stored, 16 * PCM_SAMPLES)]
                 columns = [
                     batch.column("doc_id").to_pylist(),
                     batch.column("n_bytes").to_pylist(),
-                    [len(p) for p in payloads],
-                    [hashlib.sha256(p).hexdigest() for p in payloads],
-                    [zlib.crc32(p[-UNIT:]) for p in payloads],
+                    [s.count for s in found],
+                    [s.sha256 for s in found],
+                    [s.tail_crc32 for s in found],
                     [len(m) for m in stored],
                     [hashlib.sha256(m).hexdigest() for m in stored],
-                    [features(p) for p in payloads],
+                    [s.feature for s in found],
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, RESULT.types, strict=True)], schema=RESULT)
 

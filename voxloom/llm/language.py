@@ -239,13 +239,13 @@ def train(texts: list[str], langs: list[str], seed: int = SEED, epochs: int = EP
         inner = np.ones(n, bool)
         inner[at[:-1]] = False
         np.add.at(gold_pairs, (gold[:-1][inner[1:]], gold[1:][inner[1:]]), 1)
-    state = [[np.zeros_like(x), np.zeros_like(x)] for x in (model.weights, model.lexicon_weights, model.transitions)]
+    state = [[np.zeros_like(x), np.zeros_like(x)] for x in (model.weights, model.lexicon_weights, model.transitions, model.start)]
     for epoch in range(1, epochs + 1 if n else 1):
         posterior, pairs = forward_backward(model.scores(words, made)[flat], at, model.transitions, model.start, True)
         posterior[np.arange(n), gold] -= 1
         by_word = np.stack([np.bincount(flat, posterior[:, label], len(words.hashes)) for label in range(k)], axis=1)
         by_bucket = np.stack([np.bincount(made[1], by_word[made[0], label] * made[2], BUCKETS) for label in range(k)], axis=1)
-        for x, g, (m, v) in zip((model.weights, model.lexicon_weights, model.transitions), (by_bucket + 0.5 * model.weights, members.T @ by_word, pairs - gold_pairs), state, strict=True):
+        for x, g, (m, v) in zip((model.weights, model.lexicon_weights, model.transitions, model.start), (by_bucket + 0.5 * model.weights, members.T @ by_word, pairs - gold_pairs, posterior[at[:-1]].sum(axis=0)), state, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             x -= 0.1 * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-8)
@@ -292,7 +292,7 @@ def held_out(key):
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns and lang_pred string, score double, n_words and n_switches int, certainty double.  A null text, or one without a letter, is `und` with score 0; input columns of these names are replaced."""
+    """All columns and lang_pred string, score double, n_words and n_switches int, certainty double.  A null text, or one without a letter, is `und` with score 0; input columns of these names are replaced.  Works row by row: repeated rows get equal results, an empty table stays empty, a very long text is read whole, alone in its slice; tied languages go by name."""
     docs = only_new(docs, "lang_pred", "score", "n_words", "n_switches", "certainty")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
