@@ -10,8 +10,8 @@ from voxloom.llm.common import Scratch, small
 
 #: Below this mean of each word's highest posterior no language is taken as found.
 LEAST_SCORE = 0.4
-#: Near duplicates are documents whose five-word shingles have a Jaccard similarity of 0.8 or more.  The narrow band keeps signatures selective.
-NEAR = {"width": 5, "num": 80, "den": 100, "band": 1.25, "weak": 1}
+#: Near duplicates are documents whose five-word shingles have a Jaccard similarity of 0.8 or more.  The narrow band keeps signatures selective, two passes the disk small.
+NEAR = {"width": 5, "num": 80, "den": 100, "band": 1.25, "weak": 1, "passes": 2}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
