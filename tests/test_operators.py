@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import numeric as N
 from voxloom.functions import text as X
+from voxloom.operators import labelling as B
+from voxloom.operators import losses as L
 from voxloom.operators import manifest as M
 from voxloom.operators import segments as S
 from voxloom.operators import signal as G
+from voxloom.operators import spectral as SP
+from voxloom.operators import training as T
 from voxloom.operators import vectors as V
 from voxloom.plans import pipeline as P
 from voxloom.sources import files, subtitles
@@ -107,6 +111,48 @@ def test_adaptive_filter_edge(spark):
     assert col(found, "base", "mode", "count") == [("a", "phase1", 80), ("b", "phase2", 1), ("c", "phase2", 79)]
 
 
+def test_labelling_session(spark):
+    pending = spark.createDataFrame([(0, "clustering_1", "amy"), (1, " ", "x"), (2, "clustering_2", "bob")], "seq long, source_cluster string, target_label string")
+    current = spark.createDataFrame([(9, "clustering_1", " ", "eve"), (10, "clustering_3", "zoe", "eve")], "seq long, source_cluster string, manual_label string, recommended_label string")
+    now = B.accept(pending, current)
+    assert col(now, "source_cluster", "target_label") == [("clustering_1", "eve"), ("clustering_2", "bob"), ("clustering_3", "zoe")]
+    files_ = spark.createDataFrame([("a", "clustering_1", 1.0), ("b", "clustering_1", 1.0), ("a", "clustering_2", 2.0), ("a", "eve", 9.0), ("c", "noise", 1.0)], "filename string, cluster_dir string, mtime double")
+    assert col(B.confirm(files_, now), "filename", "cluster_dir", "mtime") == [("a", "bob", 2.0), ("a", "eve", 1.0), ("b", "eve", 1.0), ("c", "noise", 1.0)]
+    bad = pending.withColumn("target_label", F.lit("clustering_9"))
+    assert col(B.invalid(bad.where("seq = 0")), "reason") == [("reserved",)]
+    with pytest.raises(ValueError, match="reserved"):
+        B.confirm(files_, bad)
+    assert B.confirm(files_.limit(0), now).count() == 0
+    ordered = spark.createDataFrame([("clustering_4", 5, 1), ("clustering_5", 3, 2), ("clustering_6", 0, 3)], "cluster_dir string, n long, place int")
+    none = ordered.select("cluster_dir").limit(0)
+    assert tuple(B.pick(ordered, none, none, "clustering_5", True).first()) == ("clustering_5", 2)
+    assert tuple(B.pick(ordered, none, none, "clustering_5").first()) == ("clustering_4", 2)
+    assert tuple(B.pick(ordered, ordered.select("cluster_dir"), none).first()) == ("", 0)
+    rows = spark.createDataFrame([("clustering_1", [1.0, 0.0]), ("amy", [1.0, 0.1]), ("bob", [0.0, 1.0])], "cluster_dir string, embedding array<double>")
+    choices = spark.createDataFrame([("amy",), ("bob",)], "label string")
+    found = B.recommend_all(spark.createDataFrame([("clustering_1",), ("clustering_2",)], "cluster_dir string"), V.centroids(rows), choices)
+    assert col(found, "target", "label", "warning") == [("clustering_1", "amy", False), ("clustering_2", "", True)]
+    only = spark.createDataFrame([("carl",)], "label string")
+    assert col(B.recommend_all(rows.where("cluster_dir = 'clustering_1'"), V.centroids(rows), only), "label", "reason") == [("", B.NO_VALID_LABEL)]
+
+
+def test_losses_and_chunks(spark):
+    rows = spark.createDataFrame([("a", 1.0, 1.0), ("a", -1.0, -1.0), ("b", 1.0, 2.0), ("b", -1.0, -2.0)], "k string, r double, e double")
+    assert [round(r.loss, 3) for r in L.negative_sdr(rows, ["k"], "r", "e").orderBy("k").collect()] == [-83.01, -89.031]  # 2 and 8 over 1e-8
+    assert [round(r.loss, 2) for r in L.p_norm_ratio(rows, ["k"], "r", "e", log=False).orderBy("k").collect()] == [0.0, 1.0]
+    with pytest.raises(ValueError):
+        L.metric_values(rows, ["k"], "r", "e", ["nope"])
+    odd = spark.createDataFrame([("a", 1.0), ("a", float("inf")), ("a", float("nan")), ("b", None)], "k string, v double")
+    assert [str(r.v) for r in L.safe_mean(odd, ["k"], "v").orderBy("k").collect()] == ["1.0", "nan"]
+    n = spark.range(200).select(T.chunk_offset(1, F.col("id"), F.lit(50), 20).alias("o"), T.chunk_offset(1, F.col("id"), F.lit(5), 20).alias("z"))
+    assert n.agg(F.min("o"), F.max("o"), F.max("z")).first() == (0, 30, 0) and n.select("o").distinct().count() == 31
+    rest = [0.0] * 128 + [1.0]
+    note = [0.0] * 60 + [1.0] + [0.0] * 68
+    frames = spark.createDataFrame([(0, rest, True), (1, note, True), (2, note, False)], "i int, p array<double>, m boolean").select("i", SP.quantised_frame(F.col("p"), F.col("m")).alias("f"))
+    assert col(frames.select("i", "f.v", "f.mask"), "i", "v", "mask") == [(0, 127.0, False), (1, 60.0, True), (2, 60.0, False)]
+    assert T.loud_enough(F.array().cast("array<double>"), 0.0) is not None and spark.range(1).select(T.loud_enough(F.lit(None).cast("array<double>"), 0.0)).first()[0] is False
+
+
 def test_media_jobs(spark):
     jobs = M.media_jobs(spark.createDataFrame([("a.mkv",), ("a.mp4",), ("b.mkv",), ("c.txt",)], "name string"))
     assert col(jobs.where("accepted"), "input") == [("a.mkv",), ("b.mkv",)]
