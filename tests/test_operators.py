@@ -260,6 +260,11 @@ def test_hdbscan_and_kmeans(spark):
     assert (V.hdbscan_labels(x[:3]) == -1).all()
     df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(blobs)], "vec_id long, embedding array<double>")
     assert {r.vec_id: r.label for r in V.recluster(df).collect()} == dict(enumerate(labels.tolist()))
+    more = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(np.concatenate([blobs] * 4))], "vec_id long, embedding array<double>")
+    by_vector = {}
+    for r in V.recluster(more, min_cluster=10, sample=60).collect():  # one rule for sampled rows and others
+        assert by_vector.setdefault(r.vec_id % 25, r.label) == r.label
+    assert by_vector[24] == -1
     assigned, centers = V.spherical_kmeans(df, [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.6, -0.8])])
     assert centers[2][1] == pytest.approx([0.6, -0.8]) or assigned.where("label = 2").count() > 0
 
