@@ -269,6 +269,21 @@ def test_hdbscan_and_kmeans(spark):
     assert centers[2][1] == pytest.approx([0.6, -0.8]) or assigned.where("label = 2").count() > 0
 
 
+def test_kmeans_with_empty_tasks(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0])], "vec_id long, embedding array<double>").repartition(8)
+    seeds = [(0, [1.0, 0.0]), (1, [0.0, 1.0])]
+    assert col(V.kmeans_step(df, seeds).select("label", "n"), "label", "n") == [(0, 1), (1, 1)]
+    assert V.kmeans_step(df.where("vec_id < 0"), seeds).count() == 0
+    assigned, centers = V.spherical_kmeans(df, seeds)
+    assert col(assigned, "vec_id", "label") == [(0, 0), (1, 1)] and centers == seeds
+
+
+def test_recluster_with_empty_tasks(spark):
+    points = [(i, [1.0, i / 1000]) for i in range(6)] + [(10 + i, [i / 1000, 1.0]) for i in range(6)]
+    df = spark.createDataFrame(points, "vec_id long, embedding array<double>").repartition(24)
+    assert {r.vec_id: r.label for r in V.recluster(df).collect()} == {k: k // 10 for k, _ in points}
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([(0, float(i), float(i)) for i in range(1, 5)], "track int, r double, e double")
     assert df.groupBy("track").agg(G.sdr(F.col("r"), F.col("e")).alias("s")).first().s == pytest.approx(10 * np.log10(30 / 1e-7), abs=1e-3)
