@@ -303,6 +303,13 @@ def test_recluster_with_empty_tasks(spark):
     assert {r.vec_id: r.label for r in V.recluster(df).collect()} == {k: k // 10 for k, _ in points}
 
 
+def test_note_bounds_far_along_a_track(spark):
+    bounds = [(0, 0, 1e8)] + [(0, i, 0.01) for i in range(1, 61)]
+    df = spark.createDataFrame(bounds, "track int, i long, bound double")
+    # a half rounds to even at frame 50; doubles have drifted past it there
+    assert col(G.note_bounds(df, ["track"], "i", "bound"), "i", "item") == [(i, 1 if i <= 50 else 2) for i in range(61)]
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([(0, float(i), float(i)) for i in range(1, 5)], "track int, r double, e double")
     assert df.groupBy("track").agg(G.sdr(F.col("r"), F.col("e")).alias("s")).first().s == pytest.approx(10 * np.log10(30 / 1e-7), abs=1e-3)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 # Fixed values.
 SDR_DELTA = 1e-7
 SI_EPS = 1e-7
+EXACT = "decimal(28,16)"
 
 
 # padding and shapes
@@ -263,9 +264,12 @@ def bleed_and_fullness(diff_db: Column) -> tuple[Column, Column]:
 
 
 def note_bounds(rows: DataFrame, keys: list[str], order: str, bound: str) -> DataFrame:
-    """Adds item: frames of one note share a number, a new one begins where the rounded running sum of bounds rises."""
+    """Adds item: frames of one note share a number, a new one begins where the rounded running sum of bounds rises.
+
+    The sum is one of decimals: a running sum of doubles drifts along a track until halves no longer round to even.
+    """
     w = Window.partitionBy(*keys).orderBy(order)
-    stepped = rows.withColumn("_step", F.bround(F.round(F.sum(bound).over(w), 9)).cast("long"))
+    stepped = rows.withColumn("_step", F.bround(F.round(F.sum(F.col(bound).cast(EXACT)).over(w), 9)).cast("long"))
     rises = (F.col("_step") - F.lag("_step", 1, -1).over(w) > 0).cast("long")
     return stepped.withColumn("_rise", rises).withColumn("item", F.sum("_rise").over(w)).drop("_step", "_rise")
 
