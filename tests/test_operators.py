@@ -288,6 +288,17 @@ def test_hdbscan_and_kmeans(spark):
     assert centers[2][1] == pytest.approx([0.6, -0.8]) or assigned.where("label = 2").count() > 0
 
 
+def test_blocked_similarity_rounds_in_blocks(spark):
+    vectors = {"a": [1.0, 0.0], "b": [3.0, 4.0], "c": [-3.0, 4.0], "d": [0.0, 0.0], "e": [-1.0, 1e-9]}
+    df = spark.createDataFrame(list(vectors.items()), "k string, x array<float>")
+    found = {(r.k, r.other): r.similarity for r in V.blocked_similarity(df.where("k < 'c'"), df, "k", "x", block=2, digits=1).collect()}
+    assert found == dict(zip([(a, b) for a in "ab" for b in "abcde"], [1.0, 0.6, -0.6, 0.0, -1.0, 0.6, 1.0, 0.3, 0.0, -0.6], strict=True))
+    plan = V.blocked_similarity(df, df, "k", "x", digits=1)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan
+    with pytest.raises(Exception, match="one length"):
+        V.blocked_similarity(df, df.unionByName(spark.createDataFrame([("f", [1.0])], "k string, x array<float>")), "k", "x").collect()
+
+
 def test_kmeans_with_empty_tasks(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0])], "vec_id long, embedding array<double>").repartition(8)
     seeds = [(0, [1.0, 0.0]), (1, [0.0, 1.0])]
