@@ -288,6 +288,27 @@ def test_hdbscan_and_kmeans(spark):
     assert centers[2][1] == pytest.approx([0.6, -0.8]) or assigned.where("label = 2").count() > 0
 
 
+def test_hdbscan_by_blocks(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.1 + 0.1 * i, (40, 6)) for i, c in enumerate(rng.normal(size=(5, 6)))] + [rng.normal(size=(60, 6))])
+    x = np.concatenate([x, x[:9], x[:9]])  # with copies
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want, turn = V.hdbscan_labels(units), rng.permutation(len(x))
+    assert want.max() > 2 and (want < 0).any()
+    assert (V.hdbscan_labels(units[turn], names=turn.tolist()) == want[turn]).all()
+    df = spark.createDataFrame([(f"{i:03}", v.tolist()) for i, v in enumerate(x)] + [("zero", [0.0] * 6)], "k string, x array<double>")
+    for block in (30, 2048):
+        assert col(V.hdbscan(df, "k", "x", block=block), "k", "label") == [(f"{i:03}", n) for i, n in enumerate(want.tolist())]
+    assert col(V.hdbscan(df.where("k < '003'"), "k", "x"), "label") == [(-1,)] * 3
+    assert V.hdbscan(df.where("k < ''"), "k", "x").count() == 0
+
+
+def test_hdbscan_of_many(spark):
+    angle = F.when(F.col("id") % 2 == 0, F.col("id") * 2.5e-5).otherwise(2 + F.col("id") * 2.5e-5)
+    df = spark.range(20_100).select(F.col("id").alias("vec_id"), F.array(F.cos(angle), F.sin(angle)).alias("embedding"))
+    assert {(r.side, r.label): r.n for r in V.hdbscan(df).groupBy((F.col("vec_id") % 2).alias("side"), "label").agg(F.count("*").alias("n")).collect()} == {(0, 0): 10_050, (1, 1): 10_050}
+
+
 def test_blocked_similarity_rounds_in_blocks(spark):
     vectors = {"a": [1.0, 0.0], "b": [3.0, 4.0], "c": [-3.0, 4.0], "d": [0.0, 0.0], "e": [-1.0, 1e-9]}
     df = spark.createDataFrame(list(vectors.items()), "k string, x array<float>")
