@@ -329,6 +329,24 @@ def test_kmeans_with_empty_tasks(spark):
     assert col(assigned, "vec_id", "label") == [(0, 0), (1, 1)] and centers == seeds
 
 
+def test_kmeans_step_of_unlabelled_and_cancelling_vectors(spark, tmp_path):
+    from voxloom.plans import vector_queries
+
+    rows = [(0, 1, [1.0, 0.1]), (1, 1, [2.0, 0.0]), (2, None, [0.0, 1.0]), (3, None, [0.1, 1.0]), (4, 3, [0.6, 0.8]), (5, 3, [-0.6, -0.8])]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = vector_queries.q_kmeans_step(spark, str(tmp_path)).collect()
+    # 4 is nearest to the centre without a label, 5 to the one of label 1; label 3 has no centre
+    assert sorted((str(r.label), r.i, r.n) for r in found) == [("1", 1, 3), ("1", 2, 3), ("None", 1, 3), ("None", 2, 3)]
+    assert vector_queries.q_noise_gate(spark, str(tmp_path)).where("label is null").count() == 3
+    assert vector_queries.q_kmeans_full(spark, str(tmp_path)).count() == 6
+
+
+def test_kmeans_step_keeps_nan(spark):
+    df = spark.createDataFrame([(0, [1.0, float("nan")])], "vec_id long, embedding array<double>")
+    assert np.isnan(V.kmeans_step(df, [(0, [1.0, 0.0])]).first().centroid).all()
+    assert V.kmeans_step(df, []).count() == V.assign(df, []).count() == 0
+
+
 def test_recluster_with_empty_tasks(spark):
     points = [(i, [1.0, i / 1000]) for i in range(6)] + [(10 + i, [i / 1000, 1.0]) for i in range(6)]
     df = spark.createDataFrame(points, "vec_id long, embedding array<double>").repartition(24)
