@@ -353,6 +353,40 @@ def test_recluster_with_empty_tasks(spark):
     assert {r.vec_id: r.label for r in V.recluster(df).collect()} == {k: k // 10 for k, _ in points}
 
 
+def test_recluster_of_the_whole_table(spark):
+    rng = np.random.default_rng(145)  # k-means over noise too gives six rows another label
+    blobs = [rng.normal(c, 0.16 + 0.05 * i, (60, 6)) for i, c in enumerate(rng.normal(size=(4, 6)))]
+    x = np.concatenate([*blobs, rng.normal(size=(60, 6))])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    base = V.hdbscan_labels(u)
+    on = base >= 0
+    centers = np.array([u[base == n].mean(axis=0) for n in range(base.max() + 1)])
+    for _ in range(100):  # noise has no part in it
+        centers /= np.linalg.norm(centers, axis=1, keepdims=True)
+        label = (u[on] @ centers.T).argmax(axis=1)
+        old, centers = centers, np.array([u[on][label == n].mean(axis=0) for n in range(len(centers))])
+        if np.allclose(old, centers / np.linalg.norm(centers, axis=1, keepdims=True), atol=1e-4):
+            break
+    want = base.copy()
+    want[on] = label
+    assert len(centers) > 1 and 20 < (~on).sum()
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(999, [0.0] * 6)], "vec_id long, embedding array<double>")
+    assert col(V.recluster(df, gate=1.0), "vec_id", "label") == list(enumerate(want.tolist()))
+    assert col(V.recluster(df.where("vec_id < 4 or vec_id = 999")), "vec_id", "label") == [(i, -1) for i in range(4)]
+    assert not spark._jsparkSession.sharedState().cacheManager().lookupCachedData(V.recluster(df)._jdf).isDefined()
+
+
+def test_recluster_past_the_old_sample(spark):
+    def ring(n, turn):
+        return [(turn * 100_000 + i, [float(np.cos(turn + i * 1e-5)), float(np.sin(turn + i * 1e-5))]) for i in range(n)]
+
+    points = [*ring(12_000, 0), *ring(12_000, 2), *ring(6, 4)]
+    df = spark.createDataFrame(points, "vec_id long, embedding array<double>")
+    # a cluster of six, of which a sample of 20,000 of 24,006 rows has all only by chance
+    found = V.recluster(df, min_cluster=6).groupBy((F.col("vec_id") / 100_000).cast("int").alias("ring"), "label").count()
+    assert col(found, "ring", "label", "count") == [(0, 0, 12_000), (2, 1, 12_000), (4, 2, 6)]
+
+
 def test_note_bounds_far_along_a_track(spark):
     bounds = [(0, 0, 1e8)] + [(0, i, 0.01) for i in range(1, 61)]
     df = spark.createDataFrame(bounds, "track int, i long, bound double")
