@@ -303,6 +303,18 @@ def test_hdbscan_by_blocks(spark):
     assert V.hdbscan(df.where("k < ''"), "k", "x").count() == 0
 
 
+def test_bridging_tree():
+    rng = np.random.default_rng(2)
+    x, core = rng.normal(size=(50, 3)), rng.uniform(0.1, 0.6, 50)
+    whole = V._spanning_tree(x, core)
+    parts = [V._spanning_tree(x[:20], core[:20]), V._spanning_tree(x[20:], core[20:]), V._bridging_tree(x[:20], x[20:], core[:20], core[20:])]
+    assert all((a < 20) != (b < 20) for a, b in zip(*parts[2][:2], strict=True)) and len(parts[2][0]) == 49
+    ids = [np.concatenate([parts[0][k], parts[1][k] + 20, parts[2][k]]) for k in (0, 1)]
+    found = V._forest(*ids, np.concatenate([p[2] for p in parts]))
+    assert sorted(found[2]) == pytest.approx(sorted(whole[2])) and len(found[0]) == 49
+    assert V._bridging_tree(x[:1], x[1:2], core[:1], core[1:2])[2] == pytest.approx([max(np.linalg.norm(x[0] - x[1]), core[0], core[1])])
+
+
 def test_hdbscan_of_many(spark):
     angle = F.when(F.col("id") % 2 == 0, F.col("id") * 2.5e-5).otherwise(2 + F.col("id") * 2.5e-5)
     df = spark.range(20_100).select(F.col("id").alias("vec_id"), F.array(F.cos(angle), F.sin(angle)).alias("embedding"))
